@@ -18,16 +18,23 @@ CLOCK_TYPES = ("timestamp_ntz", "timestamp")
 
 def table_contract(df: DataFrame, expected: Sequence[str], roles: Roles) -> DataFrame:
     """One row: exact column set, day and clock types, sizes, and the nulls of both clocks."""
-    types = dict(df.dtypes)
-    missing = sorted(set(expected) - set(types))
-    surplus = sorted(set(types) - set(expected))
-    facts = df.agg(
+    sizes = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct(roles.user).alias("users"),
         F.count_distinct(roles.item).alias("items"),
         nulls(F.col(roles.day)).alias("day_nulls"),
         nulls(F.col(roles.wall_time)).alias("time_nulls"),
     )
+    return with_schema_facts(sizes, df, expected, roles)
+
+
+def with_schema_facts(
+    facts: DataFrame, df: DataFrame, expected: Sequence[str], roles: Roles
+) -> DataFrame:
+    """Adds what the schema alone tells about the table."""
+    types = dict(df.dtypes)
+    missing = sorted(set(expected) - set(types))
+    surplus = sorted(set(types) - set(expected))
     return facts.select(
         F.lit(len(types)).cast("bigint").alias("columns"),
         F.lit(",".join(missing)).alias("missing"),

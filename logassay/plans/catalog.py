@@ -482,87 +482,87 @@ def point_in_time_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- verdicts
 
 
-def _grain(df: DataFrame) -> DataFrame:
-    return duplicates.pair_days(df, ROLES)
+def _audit(spark: SparkSession, sf_dir: str) -> suites.Audit:
+    return suites.Audit(inputs.log(spark, sf_dir), ROLES)
+
+
+def _contract(spark: SparkSession, sf_dir: str, audit: suites.Audit) -> list[DataFrame]:
+    facts = suites.contract_facts(audit, ROLES.columns)
+    return [verdict.judge(facts, "contract.log", suites.CONTRACT_RULES)]
+
+
+def _profile(spark: SparkSession, sf_dir: str, audit: suites.Audit) -> list[DataFrame]:
+    seen = coverage.matrix_coverage(inputs.grid(spark, sf_dir), GRID_ROLES)
+    sold = coverage.matrix_coverage(inputs.purchases(spark, sf_dir), PURCHASE_ROLES)
+    features = feature_coverage(spark, sf_dir)
+    return [
+        verdict.judge(suites.profile_facts(audit), "profile.log", suites.PROFILE_RULES),
+        verdict.judge(seen, "profile.grid", suites.coverage_rules()),
+        verdict.judge(sold, "profile.purchases", suites.coverage_rules()),
+        *[
+            verdict.judge(features.where(F.col("source") == s), f"profile.{s}", suites.FEATURE_RULES)
+            for s in ("orders", "part")
+        ],
+        verdict.judge(day_overlap(spark, sf_dir), "profile.order_ship", suites.OVERLAP_RULES),
+    ]
+
+
+def _anomaly(spark: SparkSession, sf_dir: str, audit: suites.Audit) -> list[DataFrame]:
+    return [verdict.judge(suites.anomaly_facts(audit), "anomaly.log", suites.ANOMALY_RULES)]
+
+
+def _diff(spark: SparkSession, sf_dir: str, audit: suites.Audit) -> list[DataFrame]:
+    runs = suites.segment_facts(audit.daily, ROLES.day)
+    return [
+        verdict.judge(user_subset(spark, sf_dir), "diff.customers", suites.SUBSET_RULES),
+        verdict.judge(day_overlap(spark, sf_dir), "diff.order_ship", suites.AVAILABILITY_RULES),
+        verdict.judge(runs, "diff.log", suites.segment_rules(SEGMENTS)),
+    ]
+
+
+def _peak(spark: SparkSession, sf_dir: str, audit: suites.Audit) -> list[DataFrame]:
+    facts = suites.peak_facts(audit, PARTIAL_DOUBLE, WHOLE_DOUBLE)
+    rules = suites.peak_rules(PARTIAL_DOUBLE, WHOLE_DOUBLE, {})
+    control = duplicates.control_duplicates(inputs.control(spark, sf_dir), ROLES)
+    return [
+        verdict.judge(facts, "peak.log", rules),
+        verdict.judge(control, "peak.control", suites.CONTROL_RULES),
+    ]
+
+
+SUITES = (_contract, _profile, _anomaly, _diff, _peak)
 
 
 @query
 def contract_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = suites.contract_facts(inputs.log(spark, sf_dir), ROLES, ROLES.columns)
-    return verdict.judge(facts, "contract.log", suites.CONTRACT_RULES)
+    return verdict.combine(_contract(spark, sf_dir, _audit(spark, sf_dir)))
 
 
 @query
 def profile_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = inputs.log(spark, sf_dir)
-    facts = suites.profile_facts(frame, scratch.materialize(_grain(frame), "grain"), ROLES)
-    seen = coverage.matrix_coverage(inputs.grid(spark, sf_dir), GRID_ROLES)
-    sold = coverage.matrix_coverage(inputs.purchases(spark, sf_dir), PURCHASE_ROLES)
-    return verdict.combine(
-        [
-            verdict.judge(facts, "profile.log", suites.PROFILE_RULES),
-            verdict.judge(seen, "profile.grid", suites.coverage_rules()),
-            verdict.judge(sold, "profile.purchases", suites.coverage_rules()),
-            *[
-                verdict.judge(
-                    feature_coverage(spark, sf_dir).where(F.col("source") == s),
-                    f"profile.{s}",
-                    suites.FEATURE_RULES,
-                )
-                for s in ("orders", "part")
-            ],
-            verdict.judge(day_overlap(spark, sf_dir), "profile.order_ship", suites.OVERLAP_RULES),
-        ]
-    )
+    return verdict.combine(_profile(spark, sf_dir, _audit(spark, sf_dir)))
 
 
 @query
 def anomaly_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = inputs.log(spark, sf_dir)
-    facts = suites.anomaly_facts(frame, _grain(frame), ROLES)
-    return verdict.judge(facts, "anomaly.log", suites.ANOMALY_RULES)
+    return verdict.combine(_anomaly(spark, sf_dir, _audit(spark, sf_dir)))
 
 
 @query
 def diff_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verdict.combine(
-        [
-            verdict.judge(user_subset(spark, sf_dir), "diff.customers", suites.SUBSET_RULES),
-            verdict.judge(
-                day_overlap(spark, sf_dir), "diff.order_ship", suites.AVAILABILITY_RULES
-            ),
-            verdict.judge(
-                suites.segment_facts(inputs.log(spark, sf_dir), ROLES),
-                "diff.log",
-                suites.segment_rules(SEGMENTS),
-            ),
-        ]
-    )
+    return verdict.combine(_diff(spark, sf_dir, _audit(spark, sf_dir)))
 
 
 @query
 def peak_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grain = scratch.materialize(_grain(inputs.log(spark, sf_dir)), "grain")
-    daily = scratch.materialize(duplicates.daily_from_grain(grain, ROLES), "daily")
-    facts = suites.peak_facts(grain, daily, ROLES, PARTIAL_DOUBLE, WHOLE_DOUBLE)
-    rules = suites.peak_rules(PARTIAL_DOUBLE, WHOLE_DOUBLE, {})
-    return verdict.combine(
-        [
-            verdict.judge(facts, "peak.log", rules),
-            verdict.judge(
-                control_duplicates(spark, sf_dir).where(F.col("scope") == "all"),
-                "peak.control",
-                suites.CONTROL_RULES,
-            ),
-        ]
-    )
+    return verdict.combine(_peak(spark, sf_dir, _audit(spark, sf_dir)))
 
 
 @query
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five suites in one PASS/FAIL table."""
-    parts = (contract_verdicts, profile_verdicts, anomaly_verdicts, diff_verdicts, peak_verdicts)
-    return verdict.combine([part(spark, sf_dir) for part in parts])
+    """All five suites in one PASS/FAIL table, over one shared audit of the log."""
+    audit = _audit(spark, sf_dir)
+    return verdict.combine([v for suite in SUITES for v in suite(spark, sf_dir, audit)])
 
 
 @query

@@ -1,20 +1,56 @@
 """The five acceptance suites: facts from few passes, then rules over them.
 
-Thresholds are parameters fixed before a run. A suite reads the (day, user,
-item) grain where it can, so one shuffle of the log serves sizes, tails, daily
-counts and every duplicate figure; the other facts are map-side scans.
+Thresholds are parameters fixed before a run. All suites about one log share an
+``Audit``: the log is read once for the (day, user, item) grain, once for all
+row-level counts and once for the clock offsets. Sizes, tails, daily counts,
+segments and every duplicate figure then come from the grain or the day table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logassay.operators import calendar, contract, coverage, duplicates, profile, quality
+from logassay.functions.numeric import nulls
+from logassay.operators import calendar, contract, duplicates, profile, quality
 from logassay.operators.verdict import Rule, merge_facts
 from logassay.roles import Roles
+from logassay.sources.scratch import materialize
+
+
+@dataclass(frozen=True)
+class Audit:
+    """A log with the intermediate tables its suites share, each written once when first needed."""
+
+    frame: DataFrame
+    roles: Roles
+
+    @cached_property
+    def grain(self) -> DataFrame:
+        return materialize(duplicates.pair_days(self.frame, self.roles), "grain")
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return materialize(duplicates.daily_from_grain(self.grain, self.roles), "daily")
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """One row with every count that needs no shuffle."""
+        roles = self.roles
+        more = [
+            nulls(F.col(roles.wall_time)).alias("time_nulls"),
+            *quality.ratio_counts(roles), *quality.clock_counts(roles), *quality.epoch_counts(roles),
+            *quality.over_counts(roles), *quality.denominator_counts(roles),
+        ]
+        return materialize(profile.measure_counts(self.frame, roles.ratio, more), "counts")
+
+    @cached_property
+    def scale(self) -> DataFrame:
+        return materialize(profile.scale_profile(self.grain, self.roles, weight="rows"), "scale")
 
 
 def _prefixed(df: DataFrame, prefix: str, columns: Sequence[str]) -> DataFrame:
@@ -37,9 +73,14 @@ CONTRACT_RULES = (
 )
 
 
-def contract_facts(df: DataFrame, roles: Roles, expected: Sequence[str]) -> DataFrame:
+def contract_facts(audit: Audit, expected: Sequence[str]) -> DataFrame:
     return merge_facts(
-        contract.table_contract(df, expected, roles), contract.offset_profile(df, roles)
+        contract.with_schema_facts(
+            audit.scale.select("rows", "users", "items", "day_nulls"),
+            audit.frame, expected, audit.roles,
+        ),
+        audit.counts.select("time_nulls"),
+        contract.offset_profile(audit.frame, audit.roles),
     )
 
 
@@ -64,14 +105,20 @@ PROFILE_RULES = (
 )
 
 
-def profile_facts(df: DataFrame, grain: DataFrame, roles: Roles) -> DataFrame:
+def profile_facts(audit: Audit) -> DataFrame:
+    grain, roles = audit.grain, audit.roles
     tail = ("keys", "p50", "max", "below_count")
     return merge_facts(
-        profile.scale_profile(grain, roles, weight="rows").drop("days"),
+        audit.scale.drop("days"),
         _prefixed(profile.long_tail(grain, roles.user, weight="rows"), "user_", tail),
         _prefixed(profile.long_tail(grain, roles.item, weight="rows"), "item_", tail),
-        profile.measure_counts(df, roles.ratio, quality.ratio_counts(roles) + quality.clock_counts(roles)),
-        profile.daily_activity_stats(grain, roles, weight="rows").select("days", "min_rows", "max_rows"),
+        audit.counts.select(
+            "measured", "null_count", "gt1_count", "eq0_count",
+            "ratio_eligible", "ratio_mismatch", "clock_eligible", "clock_mismatch",
+        ),
+        profile.daily_activity_stats(audit.daily, roles, weight="rows").select(
+            "days", "min_rows", "max_rows"
+        ),
     )
 
 
@@ -108,11 +155,13 @@ ANOMALY_RULES = (
 )
 
 
-def anomaly_facts(df: DataFrame, grain: DataFrame, roles: Roles) -> DataFrame:
-    counts = (
-        quality.over_counts(roles) + quality.denominator_counts(roles) + quality.epoch_counts(roles)
+def anomaly_facts(audit: Audit) -> DataFrame:
+    return merge_facts(
+        duplicates.summary_from_grain(audit.grain, audit.roles),
+        audit.counts.select(
+            "over_eligible", "over_rows", "zero_rows", "null_rows", "epoch_eligible", "epoch_mismatch"
+        ),
     )
-    return merge_facts(duplicates.summary_from_grain(grain, roles), df.agg(*counts))
 
 
 # ---------------------------------------------------------------- difference of two tables
@@ -136,10 +185,11 @@ def segment_rules(expected: int) -> tuple[Rule, ...]:
     )
 
 
-def segment_facts(df: DataFrame, roles: Roles) -> DataFrame:
-    gaps = calendar.date_gaps(df, roles.day)
+def segment_facts(days: DataFrame, day: str) -> DataFrame:
+    """From any table holding the days, best the day table itself."""
+    gaps = calendar.date_gaps(days, day)
     return merge_facts(
-        calendar.date_segments(df, roles.day).agg(F.count(F.lit(1)).alias("segments")),
+        calendar.date_segments(days, day).agg(F.count(F.lit(1)).alias("segments")),
         gaps.agg(
             F.count(F.lit(1)).alias("gaps"),
             F.coalesce(F.sum("gap_days"), F.lit(0)).alias("gap_days"),
@@ -185,10 +235,10 @@ def peak_rules(
 
 
 def peak_facts(
-    grain: DataFrame, daily: DataFrame, roles: Roles, partial: int, whole: int,
-    tolerance: float = 0.20, limit: float = 2.0,
+    audit: Audit, partial: int, whole: int, tolerance: float = 0.20, limit: float = 2.0
 ) -> DataFrame:
-    """One row of peak-day facts. ``daily`` holds one row per day and is read several times."""
+    """One row of peak-day facts, all but the dedupe stages from the day table."""
+    grain, daily, roles = audit.grain, audit.daily, audit.roles
     peaks = (partial, whole)
     near = duplicates.peak_neighbors(daily, roles, peaks, tolerance)
     tops = duplicates.peak_days(daily, roles)
