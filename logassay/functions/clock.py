@@ -68,5 +68,10 @@ def day_key(ts: Column) -> Column:
 
 
 def day_key_to_date(key: Column) -> Column:
-    """YYYYMMDD integer to a date; an impossible day gives null."""
-    return F.try_to_date(key.cast("string"), "yyyyMMdd")
+    """YYYYMMDD integer to a date; an impossible day gives null. Arithmetic only, no parsing."""
+    year = F.floor(key / 10000).cast("int")
+    month = F.floor(F.pmod(key, F.lit(10000)) / 100).cast("int")
+    day = F.pmod(key, F.lit(100)).cast("int")
+    zero = F.lit(0)
+    start = F.try_make_timestamp_ntz(year, month, day, zero, zero, zero.cast("decimal(16,6)"))
+    return F.when(key.between(10000101, 99991231), start.cast("date"))

@@ -18,11 +18,12 @@ from logassay.functions import clock
 
 
 def active_days(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Distinct valid days (per key)."""
+    """Distinct valid days (per key). Keys are folded before they are turned into dates."""
     return (
-        df.select(*keys, clock.day_key_to_date(F.col(day)).alias("day_date"))
-        .where(F.col("day_date").isNotNull())
+        df.select(*keys, day)
         .distinct()
+        .select(*keys, clock.day_key_to_date(F.col(day)).alias("day_date"))
+        .where(F.col("day_date").isNotNull())
     )
 
 

@@ -186,6 +186,7 @@ def ladder_rows(facts: DataFrame) -> DataFrame:
 
 def control_duplicates(df: DataFrame, roles: Roles, days: Sequence[int] = ()) -> DataFrame:
     """Rows, exact copies and repeated pairs overall and on each listed day."""
+    days = list(dict.fromkeys(days))
     grain = pair_days(df, roles)
 
     def on(d: int) -> Column:

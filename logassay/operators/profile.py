@@ -143,10 +143,10 @@ def rare_keys(df: DataFrame, key: str, threshold: int = 10) -> DataFrame:
     return key_counts(df, key).where(F.col("n") < threshold)
 
 
-def daily_activity(df: DataFrame, roles: Roles) -> DataFrame:
+def daily_activity(df: DataFrame, roles: Roles, weight: str | None = None) -> DataFrame:
     """Rows, active users and active items per day; the null day stays as a group."""
     return df.groupBy(roles.day).agg(
-        F.count(F.lit(1)).alias("interactions"),
+        _row_count(weight).alias("interactions"),
         F.count_distinct(roles.user).alias("active_users"),
         F.count_distinct(roles.item).alias("active_items"),
     )

@@ -20,14 +20,16 @@ def segment_sequences(df: DataFrame, roles: Roles, length: int = 50) -> DataFram
     ``length`` entries. The day-to-run table is one row per valid calendar day,
     so its broadcast cannot outgrow the calendar.
     """
-    runs = day_segments(df, roles.day)
+    runs = day_segments(df, roles.day).select(
+        clock.day_key(F.col("day_date")).alias(roles.day), "segment"
+    )
     newest = Window.partitionBy(roles.user, "segment").orderBy(
         F.col(roles.wall_time).desc_nulls_last(),
         F.col(roles.item).desc_nulls_last(),
     )
     ranked = (
-        df.select(roles.user, roles.item, roles.wall_time, clock.day_key_to_date(F.col(roles.day)).alias("day_date"))
-        .join(F.broadcast(runs), "day_date")
+        df.select(roles.user, roles.item, roles.wall_time, roles.day)
+        .join(F.broadcast(runs), roles.day)
         .withColumn("_rank", F.row_number().over(newest))
         .where(F.col("_rank") <= length)
     )
