@@ -33,10 +33,16 @@ def parse_fixed_fraction(raw: Column, digits: int) -> Column:
     return F.when(raw.rlike(rf"\.\d{{{digits}}}$"), parse_wall_clock(raw))
 
 
+def interval_micros(span: Column) -> Column:
+    """Microseconds of a day-time interval (the difference of two timestamps)."""
+    return (span.cast("interval second").cast("decimal(18,6)") * F.lit(1_000_000)).cast("bigint")
+
+
 def epoch_micros(ts: Column) -> Column:
     """Microseconds since 1970-01-01 of a zone-less timestamp."""
-    seconds = (ts - F.expr(EPOCH)).cast("interval second").cast("decimal(20,6)")
-    return (seconds * F.lit(1_000_000)).cast("bigint")
+    minutes = F.unix_date(ts.cast("date")).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    fraction = F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)
+    return minutes * 60_000_000 + fraction.cast("bigint")
 
 
 def from_epoch_millis(millis: Column) -> Column:
@@ -54,7 +60,7 @@ def epoch_to_clock_seconds(epoch_s: Column, shift_s: int = 0) -> Column:
 
 
 def micros_between(later: Column, earlier: Column) -> Column:
-    return epoch_micros(later) - epoch_micros(earlier)
+    return interval_micros(later - earlier)
 
 
 def millis_between(later: Column, earlier: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logassay.functions import clock
-from logassay.functions.numeric import nulls, percent, rows_where
+from logassay.functions.numeric import filtered_sum, nulls, percent, rows_where
 from logassay.roles import Roles
 
 # Type names that count as a whole-number or calendar day.
@@ -95,18 +95,22 @@ def parse_failure_by_length(df: DataFrame, raw: str, parsed: Column) -> DataFram
 
 
 def _offsets(df: DataFrame, roles: Roles, zone_shift_s: int) -> DataFrame:
-    """Rows per distinct (wall clock - epoch) offset, with the deviation from the zone rule."""
+    """Rows per distinct (wall clock - epoch) offset, with the deviation from the zone rule.
+
+    Rows are folded on the raw interval; conversions run once per distinct offset.
+    """
     wall, utc = F.col(roles.wall_time), clock.epoch_to_clock(F.col(roles.epoch))
-    deviation = F.abs(clock.micros_between(wall, utc) - F.lit(zone_shift_s * 1_000_000))
-    return (
+    spans = (
         df.where(wall.isNotNull() & F.col(roles.epoch).isNotNull())
-        .select(clock.millis_between(wall, utc).alias("offset_ms"), deviation.alias("_dev"))
-        .groupBy("offset_ms")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.max("_dev").alias("max_deviation_us"),
-            rows_where(F.col("_dev") != 0).alias("deviating_rows"),
-        )
+        .groupBy((wall - utc).alias("_span"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(clock.interval_micros(F.col("_span")).alias("_us"), "rows")
+    )
+    deviation = F.abs(F.col("_us") - F.lit(zone_shift_s * 1_000_000))
+    return spans.groupBy((F.col("_us") / 1000).cast("bigint").alias("offset_ms")).agg(
+        F.sum("rows").alias("rows"),
+        F.max(deviation).alias("max_deviation_us"),
+        filtered_sum(deviation != 0, F.col("rows")).alias("deviating_rows"),
     )
 
 
