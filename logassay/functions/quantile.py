@@ -29,16 +29,20 @@ def nearest_rank(n: Column, p: Column) -> Column:
 
 
 def _coarse(v: Column) -> Column:
-    """Monotone integer key of a number: 64 steps per power of two, split by sign."""
+    """Monotone integer key of a number: 64 steps per power of two, split by sign.
+
+    Declared never null (``coalesce``), or the joins on it would push an
+    is-not-null test of the whole expression into every scan.
+    """
     magnitude = (F.floor(F.log2(F.abs(v)) * 64) + 100_000).cast("int")
-    return (
+    key = (
         F.when(F.isnan(v), 300_000)
         .when(v == float("inf"), 250_000)
         .when(v == float("-inf"), -250_000)
         .when(v > 0, magnitude)
         .when(v < 0, -magnitude)
-        .otherwise(0)
     )
+    return F.coalesce(key, F.lit(0))
 
 
 def _with_running(counts: DataFrame, order: str, within: Sequence[str] = ()) -> DataFrame:

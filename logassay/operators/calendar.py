@@ -17,24 +17,24 @@ from pyspark.sql import functions as F
 from logassay.functions import clock
 
 
-def active_days(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Distinct valid days (per key). Keys are folded before they are turned into dates."""
+def day_steps(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Each active day with the days passed since the previous one (null for the first).
+
+    Days are folded while they are still integers and only then turned into dates.
+    Impossible days become null, sort first and are dropped after the window: a
+    filter placed before it would be pushed down and run the conversion on every row.
+    """
+    earlier = Window.partitionBy(*keys).orderBy(F.col("day_date").asc_nulls_first())
+    step = F.datediff("day_date", F.lag("day_date").over(earlier)).cast("bigint")
     return (
         df.select(*keys, day)
         .distinct()
         .select(*keys, clock.day_key_to_date(F.col(day)).alias("day_date"))
+        .withColumn("days_since_previous", step)
         .where(F.col("day_date").isNotNull())
     )
 
 
-def day_steps(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Each active day with the days passed since the previous one (null for the first)."""
-    earlier = Window.partitionBy(*keys).orderBy("day_date")
-    return active_days(df, day, keys).withColumn(
-        "days_since_previous", F.datediff("day_date", F.lag("day_date").over(earlier)).cast("bigint")
-    )
-
-
 def day_segments(
     df: DataFrame, day: str, keys: Sequence[str] = (), max_step: int = 1
 ) -> DataFrame:

@@ -53,14 +53,15 @@ def feature_coverage(
     A source without a date-like column has a null range. Null keys are left out of the key sets.
     """
     date_column = find_column(source, "date")
-    when = F.col(date_column).cast("string") if date_column else F.lit(None).cast("string")
+    date_type = dict(source.dtypes)[date_column] if date_column else "string"
+    when = F.col(date_column) if date_column else F.lit(None).cast("string")
     offered = source.groupBy(F.col(source_key).alias("_key")).agg(
         F.lit(0).alias("_base"), F.count(F.lit(1)).alias("_rows"),
         F.min(when).alias("_from"), F.max(when).alias("_to"),
     )
     wanted = base.select(F.col(base_key).alias("_key")).distinct().select(
         "_key", F.lit(1).alias("_base"), F.lit(0).cast("bigint").alias("_rows"),
-        F.lit(None).cast("string").alias("_from"), F.lit(None).cast("string").alias("_to"),
+        F.lit(None).cast(date_type).alias("_from"), F.lit(None).cast(date_type).alias("_to"),
     )
     keyed = offered.unionByName(wanted).groupBy("_key").agg(
         F.max("_base").alias("_base"), F.sum("_rows").alias("_rows"),
@@ -71,8 +72,8 @@ def feature_coverage(
     facts = keyed.agg(
         total(F.col("_rows")).alias("rows"),
         F.count_if(in_source).alias("items"),
-        F.min("_from").alias("date_min"),
-        F.max("_to").alias("date_max"),
+        F.min("_from").cast("string").alias("date_min"),
+        F.max("_to").cast("string").alias("date_max"),
         F.count_if(in_base).alias("base_items"),
         F.count_if(in_base & in_source).alias("covered_items"),
     )

@@ -18,24 +18,23 @@ def _row_count(weight: str | None) -> Column:
     return F.sum(weight) if weight else F.count(F.lit(1))
 
 
-def scale_profile(df: DataFrame, roles: Roles, weight: str | None = None) -> DataFrame:
+def scale_profile(df: DataFrame, roles: Roles, rsd: float | None = None) -> DataFrame:
     """One row: rows, distinct users / items / days, day range, and nulls of each key.
 
     Distinct counts leave null out; where null should count as a value of its
-    own, add 1 when the matching ``*_nulls`` column is above 0.
-    ``weight`` names the count column when ``df`` is already folded per key.
+    own, add 1 when the matching ``*_nulls`` column is above 0. Giving ``rsd``
+    swaps the exact counts for sketches of that relative error and no shuffle of keys.
     """
     user, item, day = F.col(roles.user), F.col(roles.item), F.col(roles.day)
-    one = F.col(weight) if weight else F.lit(1).cast("bigint")
 
-    def nulls(c: Column) -> Column:
-        return filtered_sum(c.isNull(), one)
+    def distinct(c: Column) -> Column:
+        return F.count_distinct(c) if rsd is None else F.approx_count_distinct(c, rsd)
 
     return df.agg(
-        total(one).alias("rows"),
-        F.count_distinct(user).alias("users"),
-        F.count_distinct(item).alias("items"),
-        F.count_distinct(day).alias("days"),
+        F.count(F.lit(1)).alias("rows"),
+        distinct(user).alias("users"),
+        distinct(item).alias("items"),
+        distinct(day).alias("days"),
         F.min(day).alias("day_min"),
         F.max(day).alias("day_max"),
         nulls(user).alias("user_nulls"),
@@ -44,6 +43,27 @@ def scale_profile(df: DataFrame, roles: Roles, weight: str | None = None) -> Dat
     )
 
 
+def scale_from_folds(
+    daily: DataFrame, user_tail: DataFrame, item_tail: DataFrame, roles: Roles
+) -> DataFrame:
+    """``scale_profile`` from the day table and the two ``long_tail`` rows, without reading the log."""
+    day = F.col(roles.day)
+    named = F.col("keys") - (F.col("null_key_rows") > 0).cast("bigint")
+    return merge_facts(
+        daily.agg(
+            total(F.col("rows")).alias("rows"),
+            F.count(day).alias("days"),
+            F.min(day).alias("day_min"),
+            F.max(day).alias("day_max"),
+            filtered_sum(day.isNull(), F.col("rows")).alias("day_nulls"),
+        ),
+        user_tail.select(named.alias("users"), F.col("null_key_rows").alias("user_nulls")),
+        item_tail.select(named.alias("items"), F.col("null_key_rows").alias("item_nulls")),
+    ).select(
+        "rows", "users", "items", "days", "day_min", "day_max", "user_nulls", "item_nulls", "day_nulls"
+    )
+
+
 def measure_counts(df: DataFrame, measure: str, more: Sequence[Column] = ()) -> DataFrame:
     """One map-side scan: measured and null rows, rows above 1 and at 0, and any further aggregates."""
     m = F.col(measure)
@@ -121,10 +141,17 @@ def long_tail(
 ) -> DataFrame:
     """One row about interactions per key: quantiles, maximum, and keys below the threshold.
 
+    A null key counts as one key; ``null_key_rows`` tells how many rows it has.
+
     Counts per key are folded into a histogram of counts first, so only the
     distinct count values ever meet in one task.
     """
-    histogram = key_counts(df, key, weight).groupBy("n").agg(F.count(F.lit(1)).alias("keys"))
+    unnamed = F.sum(F.when(F.col(key).isNull(), F.col("n")))
+    histogram = (
+        key_counts(df, key, weight)
+        .groupBy("n")
+        .agg(F.count(F.lit(1)).alias("keys"), unnamed.alias("unnamed"))
+    )
     few = F.coalesce(F.sum(F.when(F.col("n") < threshold, F.col("keys"))), F.lit(0))
     return (
         quantile.with_running_weight(histogram, "n", "keys")
@@ -133,6 +160,7 @@ def long_tail(
             *quantile.histogram_quantiles("n", probabilities),
             F.max("n").alias("max"),
             few.alias("below_count"),
+            F.coalesce(F.sum("unnamed"), F.lit(0)).alias("null_key_rows"),
         )
         .withColumn("below_pct", percent(F.col("below_count"), F.col("keys"), 2))
     )

@@ -72,11 +72,12 @@ def point_in_time_features(
         .agg(F.max("_f").alias("_f"))
     )
     before = Window.partitionBy("_item").orderBy("_n").rangeBetween(Window.unboundedPreceding, -1)
+    # A feature with an impossible day is never seen.
+    dated = F.when(F.col("_n").isNotNull(), F.col("_f"))
     return (
         shown.unionByName(offered, allowMissingColumns=True)
         .withColumn("_n", number)
-        .where(F.col("_n").isNotNull())
-        .withColumn("_seen", F.last("_f", ignorenulls=True).over(before))
+        .withColumn("_seen", F.last(dated, ignorenulls=True).over(before))
         .where(F.col("exposures").isNotNull())
         .select(
             F.col("_item").alias(roles.item),

@@ -147,7 +147,8 @@ def tail(source: str, key: str) -> str:
     return f"""
 SELECT count(*) AS keys, {quantile_columns(None)}, max(v) AS max,
        count(*) FILTER (WHERE v < 10) AS below_count,
-       {pct("count(*) FILTER (WHERE v < 10)", "count(*)", 2)} AS below_pct
+       {pct("count(*) FILTER (WHERE v < 10)", "count(*)", 2)} AS below_pct,
+       (SELECT count(*) FROM {source} WHERE {key} IS NULL) AS null_key_rows
 FROM {ranked(counts, "c")}"""
 
 

@@ -40,8 +40,8 @@ def profile_report(name: str, audit: Audit, observed: str = "natural") -> Report
     report = Report(
         {
             f"{name}: scale": audit.scale,
-            f"{name}: user tail": profile.long_tail(grain, roles.user, weight="rows"),
-            f"{name}: item tail": profile.long_tail(grain, roles.item, weight="rows"),
+            f"{name}: user tail": audit.user_tail,
+            f"{name}: item tail": audit.item_tail,
             f"{name}: ratio": profile.measure_profile(frame, roles.ratio),
             f"{name}: label shares": profile.label_shares(frame, roles.ratio),
             f"{name}: daily activity": profile.daily_activity(grain, roles, weight="rows").orderBy(roles.day),

@@ -49,8 +49,16 @@ class Audit:
         return materialize(profile.measure_counts(self.frame, roles.ratio, more), "counts")
 
     @cached_property
+    def user_tail(self) -> DataFrame:
+        return materialize(profile.long_tail(self.grain, self.roles.user, weight="rows"), "users")
+
+    @cached_property
+    def item_tail(self) -> DataFrame:
+        return materialize(profile.long_tail(self.grain, self.roles.item, weight="rows"), "items")
+
+    @property
     def scale(self) -> DataFrame:
-        return materialize(profile.scale_profile(self.grain, self.roles, weight="rows"), "scale")
+        return profile.scale_from_folds(self.daily, self.user_tail, self.item_tail, self.roles)
 
 
 def _prefixed(df: DataFrame, prefix: str, columns: Sequence[str]) -> DataFrame:
@@ -106,17 +114,16 @@ PROFILE_RULES = (
 
 
 def profile_facts(audit: Audit) -> DataFrame:
-    grain, roles = audit.grain, audit.roles
     tail = ("keys", "p50", "max", "below_count")
     return merge_facts(
         audit.scale.drop("days"),
-        _prefixed(profile.long_tail(grain, roles.user, weight="rows"), "user_", tail),
-        _prefixed(profile.long_tail(grain, roles.item, weight="rows"), "item_", tail),
+        _prefixed(audit.user_tail, "user_", tail),
+        _prefixed(audit.item_tail, "item_", tail),
         audit.counts.select(
             "measured", "null_count", "gt1_count", "eq0_count",
             "ratio_eligible", "ratio_mismatch", "clock_eligible", "clock_mismatch",
         ),
-        profile.daily_activity_stats(audit.daily, roles, weight="rows").select(
+        profile.daily_activity_stats(audit.daily, audit.roles, weight="rows").select(
             "days", "min_rows", "max_rows"
         ),
     )

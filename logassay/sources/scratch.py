@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -20,11 +21,12 @@ def scratch_folder(spark: SparkSession) -> str:
     shared = spark.conf.get(SETTING, None)
     if shared:
         return shared
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder all executors share")
-    chosen = tempfile.mkdtemp(prefix="logassay-")
-    spark.conf.set(SETTING, chosen)
-    return chosen
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="logassay-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -126,8 +126,11 @@ def test_null_keys_and_null_days(spark):
     assert (stats["days"], stats["null_rows"], stats["mean_rows"]) == (2, 2, 1.5)
     assert row(profile.daily_activity_stats(df, R, include_null_day=True))["mean_rows"] == round(5 / 3, 4)
     assert row(coverage.matrix_coverage(df, R))["actual_pairs"] == 2
-    folded = row(profile.scale_profile(duplicates.pair_days(df, R), R, weight="rows"))
-    assert folded == scale
+    grain = duplicates.pair_days(df, R)
+    folded = profile.scale_from_folds(
+        duplicates.daily_from_grain(grain, R), profile.long_tail(grain, R.user, weight="rows"),
+        profile.long_tail(grain, R.item, weight="rows"), R)
+    assert row(folded) == scale == row(profile.scale_profile(df, R, rsd=0.01))
 
 
 def test_argmax_tie_goes_to_the_earliest_day(spark):

@@ -16,10 +16,10 @@ from logassay.streaming.ingest import ingest_new_files
 
 HEADER = "user_id,video_id,play_duration,video_duration,time,date,timestamp,watch_ratio"
 LINES = [
-    "1,10,4407,7013,2020-07-05 00:08:23.438,20200705,1593878903.438,0.6284043918437188",
-    "1,11,5,10,2020-07-05 01:00:25.5,20200705,1593882025.5,0.5",
-    "2,10,5,10,2020-07-05 03:28:02.32,20200705.0,1593890882.32,0.5",
-    "14,6177,4407,7013,,,,0.6284043918437188",
+    "1,10,3000,8000,2020-07-05 00:09:41.617,20200705,1593878981.617,0.375",
+    "1,11,5,10,2020-07-05 01:02:33.5,20200705,1593882153.5,0.5",
+    "2,10,5,10,2020-07-05 03:44:05.32,20200705.0,1593891845.32,0.5",
+    "14,77,1000,3000,,,,0.3333333333333333",
     "3,12,20,10,2020-07-06 23:00:00,20200706,1594047600.0,2.0",
 ]
 
@@ -36,9 +36,9 @@ def test_ingest_types_every_cell(spark, tmp_path):
         "user_id": "bigint", "video_id": "bigint", "play_duration": "bigint", "video_duration": "bigint",
         "time": "timestamp_ntz", "date": "bigint", "timestamp": "double", "watch_ratio": "double"}
     rows = got.collect()
-    assert [r["time"].microsecond if r["time"] else None for r in rows] == [438000, 500000, 320000, 0, None]
+    assert [r["time"].microsecond if r["time"] else None for r in rows] == [617000, 500000, 320000, 0, None]
     assert [r["date"] for r in rows] == [20200705, 20200705, 20200705, 20200706, None]
-    assert rows[0]["watch_ratio"] == 0.6284043918437188
+    assert rows[0]["watch_ratio"] == 0.375
 
 
 def test_cells_that_do_not_fit_are_counted(spark, tmp_path):
@@ -58,7 +58,7 @@ def test_row_groups_and_file_sizes(spark, tmp_path):
 
 
 def test_formats_are_compared_on_full_reads(spark, tmp_path):
-    many = [f"{i},{i},100,200,2020-07-05 00:08:23.438,20200705,1593878903.438,0.5" for i in range(5000)]
+    many = [f"{i},{i},100,200,2020-07-05 00:09:41.617,20200705,1593878981.617,0.5" for i in range(5000)]
     csv = write_csv(tmp_path, lines=many)
     table = tables.ingest(spark, csv, str(tmp_path / "t"), R)
     got = storage.compare_formats(tables.read_csv(spark, csv, tables.raw_schema(R)), table, 1).first()
