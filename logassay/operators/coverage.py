@@ -55,20 +55,20 @@ def feature_coverage(
     date_column = find_column(source, "date")
     date_type = dict(source.dtypes)[date_column] if date_column else "string"
     when = F.col(date_column) if date_column else F.lit(None).cast("string")
-    offered = source.groupBy(F.col(source_key).alias("_key")).agg(
-        F.lit(0).alias("_base"), F.count(F.lit(1)).alias("_rows"),
-        F.min(when).alias("_from"), F.max(when).alias("_to"),
+    offered = source.select(
+        F.col(source_key).alias("_key"), F.lit(False).alias("_base"), when.alias("_when"),
+        F.lit(1).cast("bigint").alias("_rows"),
     )
-    wanted = base.select(F.col(base_key).alias("_key")).distinct().select(
-        "_key", F.lit(1).alias("_base"), F.lit(0).cast("bigint").alias("_rows"),
-        F.lit(None).cast(date_type).alias("_from"), F.lit(None).cast(date_type).alias("_to"),
+    wanted = base.select(
+        F.col(base_key).alias("_key"), F.lit(True).alias("_base"),
+        F.lit(None).cast(date_type).alias("_when"), F.lit(0).cast("bigint").alias("_rows"),
     )
     keyed = offered.unionByName(wanted).groupBy("_key").agg(
         F.max("_base").alias("_base"), F.sum("_rows").alias("_rows"),
-        F.min("_from").alias("_from"), F.max("_to").alias("_to"),
+        F.min("_when").alias("_from"), F.max("_when").alias("_to"),
     )
     known = F.col("_key").isNotNull()
-    in_base, in_source = known & (F.col("_base") == 1), known & (F.col("_rows") > 0)
+    in_base, in_source = known & F.col("_base"), known & (F.col("_rows") > 0)
     facts = keyed.agg(
         total(F.col("_rows")).alias("rows"),
         F.count_if(in_source).alias("items"),

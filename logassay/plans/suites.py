@@ -154,9 +154,9 @@ ANOMALY_RULES = (
     Rule("copies", "exact copies are counted", "total_rows > 0", ("total_rows", "uniq_rows")),
     Rule("pairs", "repeated pairs are counted", "distinct_pairs > 0",
          ("dup_pairs", "dup_pair_rows", "max_repeat")),
-    Rule("over", "rows above their denominator are counted", "over_eligible >= 0",
+    Rule("over", "rows above their denominator are counted", "over_eligible > 0",
          ("over_eligible", "over_rows")),
-    Rule("zero", "zero denominators are counted", "zero_rows >= 0", ("zero_rows", "null_rows")),
+    Rule("zero", "zero denominators are counted", "total_rows > 0", ("zero_rows", "null_rows")),
     Rule("epoch_day", "the day equals the local day of the epoch", "epoch_mismatch = 0",
          ("epoch_eligible", "epoch_mismatch")),
 )

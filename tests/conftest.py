@@ -22,14 +22,13 @@ FIXTURE_ROLES = Roles(
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "logassay-tests",
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

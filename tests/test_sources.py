@@ -92,7 +92,8 @@ def test_missing_outputs_fail(spark, tmp_path):
 
 
 def test_scratch_tables_live_in_the_shared_folder(spark):
-    folder = spark.conf.get("spark.checkpoint.dir")
+    folder = scratch.scratch_folder(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir", folder)
     table = scratch.materialize(spark.range(10).withColumn("x", F.lit("y")), "t")
     assert table.count() == 10 and all(folder in f for f in table.inputFiles())
 

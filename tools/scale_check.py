@@ -101,7 +101,6 @@ def main(copies: int) -> None:
         **{
             "spark.sql.shuffle.partitions": "64",
             "spark.driver.memory": "16g",
-            "spark.checkpoint.dir": f"{work}/scratch",
             "spark.eventLog.enabled": "true",
             "spark.eventLog.dir": f"file://{work}/events",
             "spark.eventLog.rolling.enabled": "false",
