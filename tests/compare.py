@@ -16,7 +16,7 @@ def plain(v):
     if isinstance(v, decimal.Decimal):
         v = float(v)
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 9)
+        return "nan" if math.isnan(v) else v
     if isinstance(v, datetime.datetime):
         return v.replace(tzinfo=None).isoformat()
     return v
