@@ -27,7 +27,8 @@ def spark():
         "logassay-tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": "4g",
         },
     )
