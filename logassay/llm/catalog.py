@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logassay.llm.ngram_join import similar_documents
 from logassay.llm.quality import quality_scores
 from logassay.llm.token_counts import token_counts
 
@@ -30,3 +31,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )

@@ -62,13 +62,15 @@ def map_batches(
 
 
 def map_texts(
-    df: DataFrame, schema: str, work: Callable[[list[bytes], dict[str, list]], dict[str, object]]
+    df: DataFrame, schema: str, work: Callable[[list[bytes], dict[str, list]], dict[str, object]],
+    names: list[str] | None = None,
 ) -> DataFrame:
     """Runs ``work`` over slices of rows; it gets the texts as UTF-8 and the other columns.
 
-    ``work`` returns the columns of ``schema`` as lists or arrays.
+    ``work`` returns the columns of ``schema`` as lists or arrays; ``names`` lists
+    them where nested types make the schema harder to take apart.
     """
-    names = [part.split()[0] for part in schema.split(",")]
+    names = names or [part.split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
