@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logassay.llm.embedding_dedup import near_vectors
 from logassay.llm.ngram_join import similar_documents
 from logassay.llm.quality import quality_scores
 from logassay.llm.token_counts import token_counts
@@ -38,3 +39,8 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id"
     )
+
+
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
