@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logassay.llm.embedding_dedup import near_vectors
 from logassay.llm.ngram_join import similar_documents
 from logassay.llm.quality import quality_scores
+from logassay.llm.substring_dedup import digested, without_repeats
 from logassay.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +45,8 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digested(without_repeats(table(spark, sf_dir, "documents")))
