@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from logassay.llm import line_dedup
 from logassay.llm.embedding_dedup import near_vectors
 from logassay.llm.ngram_join import similar_documents
 from logassay.llm.quality import quality_scores
@@ -50,3 +52,15 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digested(without_repeats(table(spark, sf_dir, "documents")))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.cut_repeated_lines(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_lines", "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+SQL["op2_line_dedup"] = line_dedup.SQL
