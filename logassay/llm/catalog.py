@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logassay.llm import line_dedup
 from logassay.llm.embedding_dedup import near_vectors
+from logassay.llm.license_scan import license_scan
 from logassay.llm.ngram_join import similar_documents
 from logassay.llm.quality import quality_scores
 from logassay.llm.substring_dedup import digested, without_repeats
@@ -64,3 +65,8 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op2_line_dedup"] = line_dedup.SQL
+
+
+@query
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("n_matches")
