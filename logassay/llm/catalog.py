@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logassay.llm import line_dedup
+from logassay.llm import decontamination, line_dedup
 from logassay.llm.embedding_dedup import near_vectors
 from logassay.llm.license_scan import license_scan
 from logassay.llm.ngram_join import similar_documents
@@ -70,3 +70,14 @@ SQL["op2_line_dedup"] = line_dedup.SQL
 @query
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("n_matches")
+
+
+@query
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("n_near_items")
+
+
+SQL["op8_benchmark_decontamination"] = decontamination.SQL
