@@ -12,6 +12,7 @@ from logassay.llm.embedding_dedup import near_vectors
 from logassay.llm.license_scan import license_scan
 from logassay.llm.ngram_join import similar_documents
 from logassay.llm.quality import quality_scores
+from logassay.llm.sentence_pieces import round_trips
 from logassay.llm.substring_dedup import digested, without_repeats
 from logassay.llm.token_counts import token_counts
 
@@ -81,3 +82,8 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 SQL["op8_benchmark_decontamination"] = decontamination.SQL
+
+
+@query
+def op9_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trips(table(spark, sf_dir, "documents"))
