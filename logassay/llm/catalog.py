@@ -11,6 +11,7 @@ from logassay.llm import decontamination, line_dedup
 from logassay.llm.embedding_dedup import near_vectors
 from logassay.llm.license_scan import license_scan
 from logassay.llm.ngram_join import similar_documents
+from logassay.llm.personal_data import personal_data
 from logassay.llm.quality import quality_scores
 from logassay.llm.sentence_pieces import round_trips
 from logassay.llm.substring_dedup import digested, without_repeats
@@ -87,3 +88,8 @@ SQL["op8_benchmark_decontamination"] = decontamination.SQL
 @query
 def op9_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trips(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
