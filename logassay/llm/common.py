@@ -29,6 +29,24 @@ def texts_of(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc`` (all columns as a struct), doc_id, text as it is, and the row key.
+
+    Operators that pass rows on work beside the struct, so no column of theirs
+    can clash with one of the table.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    return docs.select(
+        whole, "doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("_k")
+    )
+
+
+def unpacked(columns: list[str], **instead: Column) -> list[Column]:
+    """The columns of the struct ``doc``; ``instead`` replaces some of them and adds others."""
+    kept = [instead.pop(c).alias(c) if c in instead else F.col(f"doc.`{c}`") for c in columns]
+    return [*kept, *[v.alias(c) for c, v in instead.items()]]
+
+
 def row_key() -> Column:
     """With doc_id it tells rows apart; rows equal in both are interchangeable."""
     return F.xxhash64("doc_id", "text")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logassay.llm.common import row_key, stored, texts_of
+from logassay.llm.common import packed, row_key, stored, texts_of, unpacked
 
 SIZE = 10
 PROBES = 3
@@ -136,15 +136,14 @@ def candidates(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: in
 
 
 def flagged(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int = SLOP) -> DataFrame:
-    """``docs`` with a struct ``_hit`` of n_words, n_hit, items (sorted strings) and near_items."""
+    """``doc`` (the whole row) and ``hit``: n_words, n_hit, items (sorted strings) and near_items."""
     found = candidates(docs, benchmark, size, slop).select(
         F.col("doc_id").alias("_id"), F.col("_k").alias("_key"),
         F.col("places").alias("_places"), F.col("near").alias("_near"),
     )
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", text))
-    joined = keyed.join(
-        found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")), "left"
+    joined = packed(docs).join(
+        found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left"
     )
     worded = joined.withColumn("_words", F.when(F.size("_places") > 0, _words(text)))
     true = F.filter(
@@ -168,25 +167,25 @@ def flagged(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int =
         F.coalesce(items, none).alias("items"),
         F.coalesce("_near", none).alias("near_items"),
     )
-    return hits.select(*[F.col(f"`{c}`") for c in docs.columns], hit.alias("_hit"))
+    return hits.select("doc", hit.alias("hit"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """One row per document row, with counts, a digest of the items, and proximity matches."""
     return flagged(docs.select("doc_id", "text"), benchmark, size).select(
-        "doc_id",
-        "_hit.n_words",
-        "_hit.n_hit",
-        F.size("_hit.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_hit.items", ","), 256).alias("items_sha256"),
-        (F.col("_hit.n_hit") > 0).alias("contaminated"),
-        F.size("_hit.near_items").cast("long").alias("n_near_items"),
+        "doc.doc_id",
+        "hit.n_words",
+        "hit.n_hit",
+        F.size("hit.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit.items", ","), 256).alias("items_sha256"),
+        (F.col("hit.n_hit") > 0).alias("contaminated"),
+        F.size("hit.near_items").cast("long").alias("n_near_items"),
     )
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """The rows of ``docs``, all columns, without any benchmark window."""
-    return flagged(docs, benchmark, size).where("_hit.n_hit = 0").drop("_hit")
+    return flagged(docs, benchmark, size).where("hit.n_hit = 0").select(unpacked(docs.columns))
 
 
 _SQL_WORDS = (

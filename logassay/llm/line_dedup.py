@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from logassay.llm.common import map_batches, map_texts, row_key, slices, texts_of
+from logassay.llm.common import map_batches, map_texts, packed, row_key, slices, texts_of, unpacked
 from logassay.llm.word_arrays import fingerprints, run_hashes, split_words
 
 RUN = 3
@@ -76,16 +76,13 @@ def later_windows(docs: DataFrame, run: int = RUN) -> DataFrame:
 
 
 def cut_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """``docs`` with the lines cut from ``text``, and columns n_lines and n_removed."""
+    """``docs`` with the lines cut from ``text``, and columns n_lines and n_removed (new or replaced)."""
     starts = later_windows(docs, run).select(
         F.col("doc_id").alias("_id"), F.col("_k").alias("_key"), F.col("starts").alias("_starts")
     )
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))))
-    joined = keyed.join(
-        starts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")), "left"
-    ).select(*[F.col(f"`{c}`") for c in docs.columns], "_starts")
-
-    names = docs.columns
+    joined = packed(docs).join(
+        starts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left"
+    ).select("doc", "text", "_starts")
 
     def cut(text: bytes, begin: list[int] | None) -> tuple[bytes, int, int]:
         lines = text.split(b"\n")
@@ -102,24 +99,32 @@ def cut_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
                 raw = pc.fill_null(column.cast(pa.binary()), b"").to_pylist()
                 new = [cut(t, s) for t, s in zip(raw, part.column("_starts").to_pylist(), strict=True)]
                 text = pc.if_else(column.is_valid(), pa.array([x[0].decode() for x in new], pa.string()), None)
-                out = [text if c == "text" else part.column(c) for c in names]
                 counts = [pa.array([x[k] for x in new], pa.int64()) for k in (1, 2)]
-                yield pa.RecordBatch.from_arrays([*out, *counts], names=[*names, "n_lines", "n_removed"])
-
-    schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string("n_lines long, n_removed long").fields])
-    return map_batches(joined, schema, run_batches)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc"), text, *counts], names=["doc", "text", "n_lines", "n_removed"]
+                )
+
+    added = T._parse_datatype_string("text string, n_lines long, n_removed long").fields
+    cuts = map_batches(joined, T.StructType([joined.schema["doc"], *added]), run_batches)
+    return cuts.select(
+        unpacked(docs.columns, text=F.col("text"), n_lines=F.col("n_lines"), n_removed=F.col("n_removed"))
+    )
 
 
 def cut_stage(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """The columns of ``docs`` with cut texts; texts of which nothing is left go."""
-    cut = cut_repeated_lines(docs, run).where(
-        (F.col("n_removed") == 0) | (F.trim(F.translate("text", "\n", "")) != "")
+    """The columns of ``docs`` with cut texts; texts of which nothing is left go.
+
+    ``n_chars``, where the table has it, follows the text.
+    """
+    wide = packed(docs).select("doc", "doc_id", "text")
+    cut = cut_repeated_lines(wide, run).where(
+        (F.col("n_removed") == 0) | (F.translate("text", "\n", "") != "")
     )
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        cut = cut.withColumn(
-            "n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-        )
-    return cut.select(*docs.columns)
+        size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("doc.n_chars"))
+        new["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+    return cut.select(unpacked(docs.columns, **new))
 
 
 # Lines, windows and first occurrences, written out.

@@ -188,9 +188,11 @@ def pieces_of(name: str) -> Pieces:
     return _encoders[name]
 
 
-def _mapped(df: DataFrame, added: str, work) -> DataFrame:
-    """All columns of ``df`` and those ``work`` makes from each slice."""
-    schema = T.StructType([*df.schema.fields, *T._parse_datatype_string(added).fields])
+def _mapped(table: DataFrame, added: str, work) -> DataFrame:
+    """All columns of ``table`` and those ``work`` makes from each slice, which replace any of that name."""
+    new = T._parse_datatype_string(added).fields
+    df = table.drop(*[f.name for f in new])
+    schema = T.StructType([*df.schema.fields, *new])
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
