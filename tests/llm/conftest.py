@@ -1,0 +1,30 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from made import ITEMS, frame, made_rows  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def rows():
+    return made_rows()
+
+
+@pytest.fixture(scope="session")
+def docs(spark, rows):
+    return frame(spark, rows).cache()
+
+
+@pytest.fixture(scope="session")
+def benchmark(spark):
+    return spark.createDataFrame(ITEMS, "item_id long, text string")
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return frame(spark, []).limit(0)

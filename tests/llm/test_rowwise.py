@@ -1,0 +1,167 @@
+"""Operators that judge each row by itself."""
+
+import random
+
+import brute
+import numpy as np
+import pytest
+from made import frame
+from tokenizers import Tokenizer
+
+import public_tokenizers
+import sentencepiece
+from logassay.llm import license_scan, personal_data, quality, sentence_pieces, token_counts
+
+LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+MODEL = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+MIXED = ["a", "the", "ing", " ", "  ", "\n", "\t", ".", "'s", "É", "ñ", "中", "é", "😀", "½", "\x1c", "12", "▁", "ﬁ", "\x00", " "]
+
+
+def mixed_texts(n):
+    r = random.Random(4)
+    return ["".join(r.choices(MIXED, k=r.randint(0, 40))) for _ in range(n)]
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_token_counts_are_the_library_s(docs, rows):
+    got = by_id(token_counts.token_counts(docs, sample_rows=20, frequent=50, cache_entries=300))
+    assert len(got) == len(rows)
+    for i, t in rows:
+        n = len(LIBRARY.encode(t or "", add_special_tokens=False).ids)
+        assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((t or "").encode()), n, n > 512)
+
+
+def test_token_counts_of_mixed_texts(spark):
+    texts = mixed_texts(800)
+    got = by_id(token_counts.token_counts(frame(spark, list(enumerate(texts)))))
+    want = [len(e.ids) for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    assert [got[i].n_tokens for i in range(len(texts))] == want
+
+
+def test_pieces_are_the_library_s(docs, rows):
+    coded = sentence_pieces.decode(sentence_pieces.encode(docs))
+    got = by_id(coded)
+    for i, t in rows:
+        if t is None:
+            assert got[i].ids is None and got[i].decoded is None
+        else:
+            assert got[i].ids == MODEL.encode(t) and got[i].decoded == MODEL.decode(MODEL.encode(t)) == t
+    trips = by_id(sentence_pieces.round_trips(docs))
+    assert all(r.round_trip for r in trips.values())
+    packed = np.array(got[1 + 3 * 5].ids, dtype="<i4").tobytes()
+    assert trips[1 + 3 * 5].ids_sha256 == brute.sha(packed)
+
+
+def test_pieces_of_mixed_texts():
+    one, texts = sentence_pieces.Pieces("piece_bpe_32k.model"), mixed_texts(4000)
+    packed = one.encode(texts)
+    assert [np.frombuffer(p, dtype="<i4").tolist() for p in packed] == MODEL.encode(texts)
+    assert [one.decode(p) for p in packed] == MODEL.decode(MODEL.encode(texts))
+
+
+def test_license_base_counts(docs, rows):
+    got = by_id(license_scan.license_scan(docs))
+    for i, t in rows:
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.licenses(t), t
+        assert 0 <= r.score <= 1
+
+
+@pytest.mark.parametrize(
+    "text,labels,score",
+    [
+        ("Licensed under the Apache License, Version 2.0.", "apache", 0.9),
+        ("SPDX-License-Identifier: MIT", "mit", 1.0),
+        ("Licensed under CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa", 0.9),
+        ("GNU Lesser General Public License v3", "gnu-lgpl,gpl", 0.7),
+        ("Permission is hereby granted, free of charge, to any person", "mit", 1.0),
+        ("Copyright (c) 2020 X. Some rights reserved.", "copyright,rights-reserved", 0.7),
+        ("nothing to see", "", 0.0),
+    ],
+)
+def test_license_labels(spark, text, labels, score):
+    got = license_scan.license_scan(frame(spark, [(1, text)])).first()
+    assert (got.labels, got.score) == (labels, score)
+
+
+def test_hundreds_of_rules_and_all_are_gated():
+    rules = license_scan.rules()
+    assert len(rules) > 300
+    gate = license_scan.GATE_WORDS
+    for _, _, _, text in rules:
+        plain = text.replace("licen[cs]e", "license").replace("[cs]", "s")
+        assert any(g in plain for g in gate) or "cc by" in plain, text
+
+
+def test_personal_data_base_spans(docs, rows):
+    got = by_id(personal_data.personal_data(docs))
+    for i, t in rows:
+        spans = brute.personal(t)
+        counts = [sum(s[0] == k for s in spans) for k in range(4)]
+        assert [got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone] == counts, t
+        assert got[i].base_sha256 == brute.sha(personal_data._listed(spans))
+        assert set(personal_data._listed(spans).split(",")) - {""} <= set(got[i].spans.split(","))
+
+
+def test_personal_data_patterns_on_mixed_texts():
+    r = random.Random(3)
+    parts = ["1", "23", "4", ".", ".", "@", "a", "b.c", "-", " ", "+", "(", ")", "255", "4111111111111111", "@x.y", "%", "é", "99", "\n"]
+    for _ in range(20_000):
+        t = "".join(r.choices(parts, k=r.randint(0, 25)))
+        assert personal_data.base_spans(t) == brute.personal(t), t
+
+
+def test_repeated_token_gets_the_label_of_its_twin(spark):
+    many = [(i, f"call +1 (605) 555-{1000 + i} or 4111111111111111 then 4111111111111111 now") for i in range(200)]
+    # The run of digits is too long for a card, so the patterns miss both; the card was seen before.
+    twin = "pay 4111111111111111 then x 4111111111111111 86.227.24.1 end"
+    got = by_id(personal_data.personal_data(frame(spark, [*many, (999, twin)])))
+    assert got[999].n_card == 1
+    assert got[999].spans == "ip:45:56,card:4:20,card:28:44"
+
+
+@pytest.mark.parametrize(
+    "f",
+    [
+        token_counts.token_counts, license_scan.license_scan, personal_data.personal_data,
+        sentence_pieces.round_trips, sentence_pieces.encode,
+    ],
+)
+def test_empty_table(nothing, f):
+    assert f(nothing).collect() == []
+
+
+def labelled(spark, docs_of):
+    return spark.createDataFrame(docs_of, "doc_id long, quality int, toxic int")
+
+
+def test_quality_learns_only_from_its_share(spark):
+    r = random.Random(5)
+    good = lambda: " ".join("".join(r.choices("abcdefgh", k=r.randint(2, 8))) for _ in range(r.randint(30, 200))) + "."
+    bad = lambda: " ".join(r.choices(["BUY!!", "NOW!!", "##", "$$$"], k=r.randint(30, 200)))
+    rows = [(i, good() if i % 3 else bad()) for i in range(300)]
+    marks = [(i, int(i % 3 > 0), 0) for i, _ in rows]
+    docs = frame(spark, [*rows, (None, "some words"), (1000, None), (1001, "")])
+    got = quality.quality_scores(docs, labelled(spark, marks)).collect()
+    assert len(got) == 303
+    told = {x.doc_id: x for x in got}
+    held = [i for i, _ in rows if told[i].held_out]
+    assert 60 < len(held) < 140
+    assert sum(told[i].predicted == int(i % 3 > 0) for i in held) >= 0.98 * len(held)
+    assert all(0 <= x.score <= 1 and x.predicted == int(x.score >= 0.5) for x in got)
+    # Held-out labels change nothing.
+    flipped = [(i, 1 - q if told[i].held_out else q, 0) for i, q, _ in marks]
+    again = {x.doc_id: x.score for x in quality.quality_scores(docs, labelled(spark, flipped)).collect()}
+    assert all(abs(again[x.doc_id] - x.score) < 1e-9 for x in got)
+    kept = {x.doc_id for x in quality.keep_good(docs, labelled(spark, marks)).collect()}
+    assert kept == {x.doc_id for x in got if x.predicted}
+
+
+def test_quality_without_usable_labels(spark, docs, rows, nothing):
+    one = labelled(spark, [(rows[0][0], None, 0), (rows[1][0], 7, 0), (rows[2][0], 1, 0), (rows[2][0], 0, 0)])
+    assert {r.score for r in quality.quality_scores(docs, one).collect()} == {0.5}
+    assert quality.quality_scores(nothing, one).collect() == []
+    assert quality.keep_good(docs, one).count() == len(rows)
