@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 DAY_SECONDS = 86_400
+# A day inside years 1 and 9999 on either side, so that no zone shift leaves them.
+EPOCH_RANGE = (-62_135_510_400.0, 253_402_214_399.0)
 
 # Fixed value: 'YYYY-MM-DD hh:mm:ss' with an optional fraction of any length.
 WALL_CLOCK_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d+)?$"
@@ -49,14 +51,21 @@ def from_epoch_millis(millis: Column) -> Column:
     return F.timestamp_add("MILLISECOND", millis, F.expr(EPOCH))
 
 
+def valid_epoch(epoch_s: Column) -> Column:
+    """Seconds of a day in years 1 to 9999. NaN, infinities and anything beyond are not."""
+    return F.coalesce(epoch_s.between(*EPOCH_RANGE), F.lit(False))
+
+
 def epoch_to_clock(epoch_s: Column) -> Column:
-    """UTC seconds with fraction to a timestamp, rounded to milliseconds."""
-    return from_epoch_millis(F.round(epoch_s * 1000).cast("bigint"))
+    """UTC seconds with fraction to a timestamp, rounded to milliseconds; null when not valid."""
+    sound = F.when(valid_epoch(epoch_s), epoch_s)
+    return from_epoch_millis(F.round(sound * 1000).cast("bigint"))
 
 
 def epoch_to_clock_seconds(epoch_s: Column, shift_s: int = 0) -> Column:
-    """UTC seconds plus a zone shift to a timestamp, fraction cut off."""
-    return F.timestamp_add("SECOND", (epoch_s + F.lit(shift_s)).cast("bigint"), F.expr(EPOCH))
+    """UTC seconds plus a zone shift to a timestamp, fraction cut off; null when not valid."""
+    sound = F.when(valid_epoch(epoch_s), epoch_s)
+    return F.timestamp_add("SECOND", (sound + F.lit(shift_s)).cast("bigint"), F.expr(EPOCH))
 
 
 def micros_between(later: Column, earlier: Column) -> Column:

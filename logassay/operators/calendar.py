@@ -20,9 +20,11 @@ from logassay.functions import clock
 def day_steps(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
     """Each active day with the days passed since the previous one (null for the first).
 
-    Days are folded while they are still integers and only then turned into dates.
-    Impossible days become null, sort first and are dropped after the window: a
-    filter placed before it would be pushed down and run the conversion on every row.
+    Days are folded while they are still integers and only then turned into dates,
+    which are folded again: all impossible days are one null by then, so the window
+    holds at most one row per calendar day and one more, whatever the column holds.
+    The null is dropped after the window: a filter placed before it would be pushed
+    down and run the conversion on every row.
     """
     earlier = Window.partitionBy(*keys).orderBy(F.col("day_date").asc_nulls_first())
     step = F.datediff("day_date", F.lag("day_date").over(earlier)).cast("bigint")
@@ -30,6 +32,7 @@ def day_steps(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
         df.select(*keys, day)
         .distinct()
         .select(*keys, clock.day_key_to_date(F.col(day)).alias("day_date"))
+        .distinct()
         .withColumn("days_since_previous", step)
         .where(F.col("day_date").isNotNull())
     )
@@ -114,14 +117,23 @@ def time_split(df: DataFrame, day: str, ranges: Sequence[DayRange]) -> DataFrame
 
 
 def split_summary(df: DataFrame, day: str, user: str, ranges: Sequence[DayRange]) -> DataFrame:
-    return (
-        time_split(df, day, ranges)
-        .groupBy("split")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_distinct(user).alias("users"),
-            F.count_distinct(day).alias("days"),
-            F.min(day).alias("first_day"),
-            F.max(day).alias("last_day"),
-        )
+    """Rows, users and days per split.
+
+    Rows fold to (day, user) first; users of a split are counted from its distinct
+    (split, user) pairs and days from (split, day), each a fold of the one before,
+    so no row of the log is expanded for a distinct count.
+    """
+    grain = df.groupBy(day, user).agg(F.count(F.lit(1)).alias("rows"))
+    split = time_split(grain, day, ranges)
+    by_day = split.groupBy("split", day).agg(F.sum("rows").alias("rows"))
+    by_user = split.select("split", user).distinct()
+    days = by_day.groupBy("split").agg(
+        F.sum("rows").alias("rows"),
+        F.count(day).alias("days"),
+        F.min(day).alias("first_day"),
+        F.max(day).alias("last_day"),
+    )
+    users = by_user.groupBy(F.col("split").alias("_split")).agg(F.count(user).alias("users"))
+    return days.join(users, F.col("split") == F.col("_split")).select(
+        "split", "rows", "users", "days", "first_day", "last_day"
     )

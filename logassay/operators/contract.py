@@ -104,6 +104,7 @@ def _offsets(df: DataFrame, roles: Roles, zone_shift_s: int) -> DataFrame:
         df.where(wall.isNotNull() & F.col(roles.epoch).isNotNull())
         .groupBy((wall - utc).alias("_span"))
         .agg(F.count(F.lit(1)).alias("rows"))
+        # An epoch that is no time has no offset; its rows stay, under null.
         .select(clock.interval_micros(F.col("_span")).alias("_us"), "rows")
     )
     deviation = F.abs(F.col("_us") - F.lit(zone_shift_s * 1_000_000))
@@ -117,10 +118,11 @@ def _offsets(df: DataFrame, roles: Roles, zone_shift_s: int) -> DataFrame:
 def offset_profile(df: DataFrame, roles: Roles, zone_shift_s: int = 28_800) -> DataFrame:
     """One row: how many distinct offsets, their range, and the value check against the zone."""
     return _offsets(df, roles, zone_shift_s).agg(
-        F.count(F.lit(1)).alias("distinct_offsets"),
+        F.count("offset_ms").alias("distinct_offsets"),
         F.min("offset_ms").alias("min_offset_ms"),
         F.max("offset_ms").alias("max_offset_ms"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("compared_rows"),
+        filtered_sum(F.col("offset_ms").isNotNull(), F.col("rows")).alias("compared_rows"),
+        filtered_sum(F.col("offset_ms").isNull(), F.col("rows")).alias("invalid_rows"),
         F.coalesce(F.sum("deviating_rows"), F.lit(0)).alias("deviating_rows"),
         F.max("max_deviation_us").alias("max_deviation_us"),
     )
@@ -129,5 +131,9 @@ def offset_profile(df: DataFrame, roles: Roles, zone_shift_s: int = 28_800) -> D
 def first_offsets(df: DataFrame, roles: Roles, zone_shift_s: int = 28_800, n: int = 5) -> DataFrame:
     """The n smallest distinct offsets with their row counts (a top-n report)."""
     return (
-        _offsets(df, roles, zone_shift_s).select("offset_ms", "rows").orderBy("offset_ms").limit(n)
+        _offsets(df, roles, zone_shift_s)
+        .where("offset_ms IS NOT NULL")
+        .select("offset_ms", "rows")
+        .orderBy("offset_ms")
+        .limit(n)
     )

@@ -330,14 +330,18 @@ def peak_neighbors(
 def neighbour_deviation(daily: DataFrame, roles: Roles, column: str = "uniq_rows") -> DataFrame:
     """For every day: mean of the calendar days beside it and the relative deviation from it.
 
-    The window has no partition key; it runs over one row per calendar day.
+    Only days that exist have neighbours; impossible ones are reported with none.
+    They are partitioned apart from the valid days, each on its own, so the window
+    over the calendar holds one row per valid day.
     """
     number = F.datediff(clock.day_key_to_date(F.col(roles.day)), F.lit("1970-01-01").cast("date"))
     known = daily.where(F.col(roles.day).isNotNull()).withColumn("_d", number)
-    around = Window.orderBy("_d").rangeBetween(-1, 1)
-    others = F.count(F.lit(1)).over(around) - 1
+    own = F.when(F.col("_d").isNull(), F.col(roles.day))
+    around = Window.partitionBy(own).orderBy("_d").rangeBetween(-1, 1)
+    dated = F.col("_d").isNotNull()
+    others = F.when(dated, F.count(F.lit(1)).over(around) - 1).otherwise(0).cast("bigint")
     rest = F.sum(column).over(around) - F.col(column)
-    mean = ratio(rest, others)
+    mean = F.when(dated, ratio(rest, others))
     return known.select(
         roles.day,
         F.col(column),

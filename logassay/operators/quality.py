@@ -48,11 +48,13 @@ def date_time_consistency(df: DataFrame, roles: Roles) -> DataFrame:
 
 def epoch_counts(roles: Roles, zone_shift_s: int = 28_800) -> list[Column]:
     epoch, day = F.col(roles.epoch), F.col(roles.day)
-    both = epoch.isNotNull() & day.isNotNull()
+    sound = clock.valid_epoch(epoch)
+    both = sound & day.isNotNull()
     local_day = clock.day_key(clock.epoch_to_clock_seconds(epoch, zone_shift_s))
     return [
         rows_where(both).alias("epoch_eligible"),
         rows_where(both & (local_day != day)).alias("epoch_mismatch"),
+        rows_where(epoch.isNotNull() & ~sound).alias("epoch_invalid"),
     ]
 
 

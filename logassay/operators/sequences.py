@@ -8,41 +8,83 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logassay.functions import clock
+from logassay.functions.numeric import nulls, rows_where
 from logassay.operators.calendar import day_segments
 from logassay.roles import Roles
 
 
-def segment_sequences(df: DataFrame, roles: Roles, length: int = 50) -> DataFrame:
-    """Per user and run of days, the latest ``length`` items in time order.
+# Spark keeps a rank filter on the map side only up to this many rows per group.
+GROUP_LIMIT = 1000
 
-    Sequences never cross an empty stretch of the calendar. The rank filter is
-    applied per task before the shuffle, and each collected list holds at most
-    ``length`` entries. The day-to-run table is one row per valid calendar day,
-    so its broadcast cannot outgrow the calendar.
+
+def _with_run(df: DataFrame, roles: Roles) -> DataFrame:
+    """The rows with the number of the run of days theirs belongs to.
+
+    The broadcast table has one row per valid calendar day, at most 3.3 million
+    whatever the log holds. Rows whose day is null or impossible get no run.
     """
     runs = day_segments(df, roles.day).select(
         clock.day_key(F.col("day_date")).alias(roles.day), "segment"
     )
-    newest = Window.partitionBy(roles.user, "segment").orderBy(
-        F.col(roles.wall_time).desc_nulls_last(),
-        F.col(roles.item).desc_nulls_last(),
-    )
-    ranked = (
-        df.select(roles.user, roles.item, roles.wall_time, roles.day)
-        .join(F.broadcast(runs), roles.day)
-        .withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") <= length)
+    return df.select(roles.user, roles.item, roles.wall_time, roles.day).join(
+        F.broadcast(runs), roles.day, "left"
     )
-    oldest_first = F.array_sort(F.collect_list(F.struct((-F.col("_rank")).alias("r"), F.col(roles.item).alias("i"))))
+
+
+def segment_sequences(df: DataFrame, roles: Roles) -> DataFrame:
+    """Every event with its run of days, ordered by user, run and time within the partitions.
+
+    Sequences never cross an empty stretch of the calendar. Nothing is grouped:
+    the range partitioning cuts within a user, so a user that owns a third of
+    the log is spread over many tasks. Events without a valid day have a null run.
+    """
+    order = (roles.user, "segment", roles.wall_time, roles.item)
     return (
-        ranked.groupBy(roles.user, "segment")
-        .agg(F.count(F.lit(1)).alias("events"), oldest_first.alias("_s"))
-        .select(
-            roles.user,
-            "segment",
-            "events",
-            F.concat_ws(" ", F.transform("_s", lambda s: s["i"].cast("string"))).alias("items"),
-        )
+        _with_run(df, roles)
+        .select(*order)
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+    )
+
+
+def sequence_losses(df: DataFrame, roles: Roles) -> DataFrame:
+    """One row: events, events in a run, and events without a null or an impossible day."""
+    run = _with_run(df, roles)
+    return run.agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count("segment").alias("in_a_run"),
+        nulls(F.col(roles.day)).alias("null_day"),
+        rows_where(F.col(roles.day).isNotNull() & F.col("segment").isNull()).alias("impossible_day"),
+    )
+
+
+def newest_sequences(df: DataFrame, roles: Roles, newest: int = 50) -> DataFrame:
+    """Per user and run the ``newest`` items in time order, and how many events there are in all.
+
+    A top-n report: the rank filter runs per task before the shuffle, which
+    Spark does only up to ``GROUP_LIMIT`` rows; beyond that it is refused.
+    """
+    if not 1 <= newest <= GROUP_LIMIT:
+        raise ValueError(f"newest must be 1 to {GROUP_LIMIT}, not {newest}; use segment_sequences")
+    rows = _with_run(df, roles).where(F.col("segment").isNotNull())
+    latest = Window.partitionBy(roles.user, "segment").orderBy(
+        F.col(roles.wall_time).desc_nulls_last(), F.col(roles.item).desc_nulls_last()
+    )
+    ranked = rows.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= newest)
+    oldest_first = F.array_sort(
+        F.collect_list(F.struct((-F.col("_rank")).alias("r"), F.col(roles.item).alias("i")))
+    )
+    lists = ranked.groupBy(F.col(roles.user).alias("_u"), F.col("segment").alias("_s")).agg(
+        F.count(F.lit(1)).alias("events"), oldest_first.alias("_items")
+    )
+    totals = rows.groupBy(roles.user, "segment").agg(F.count(F.lit(1)).alias("events_total"))
+    same = F.col(roles.user).eqNullSafe(F.col("_u")) & (F.col("segment") == F.col("_s"))
+    return totals.join(lists, same).select(
+        roles.user,
+        "segment",
+        "events_total",
+        "events",
+        F.concat_ws(" ", F.transform("_items", lambda s: s["i"].cast("string"))).alias("items"),
     )
 
 

@@ -29,7 +29,7 @@ SPLITS = (
     DayRange("validate", 20240121, 20240123),
     DayRange("test", 20240128, 20240207),
 )
-SEQUENCE_LENGTH = 50
+SEQUENCE_LENGTH = 10
 SEGMENTS = 3
 RATES = (0.5, 1.0)
 
@@ -65,6 +65,55 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.typed(inputs.damaged_cells(spark, sf_dir), ROLES)
+
+
+@query
+def damaged_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged cells written as CSV and ingested: bad cells become null, no row is lost."""
+    path = scratch.scratch_path(spark, "csv")
+    inputs.damaged_cells(spark, sf_dir).write.option("header", True).csv(path)
+    return tables.ingest(spark, path, scratch.scratch_path(spark, "table"))
+
+
+@query
+def damaged_day_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = inputs.damaged_cells(spark, sf_dir)
+    parsers = {"whole_number": tables.whole_day(F.col("day")), "any_number": F.col("day").try_cast("double")}
+    return contract.parse_loss(raw, "day", parsers)
+
+
+@query
+def damaged_clock_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("wall_time")
+    parsers = {"any_fraction": clock.parse_wall_clock(text), "three_digits": clock.parse_fixed_fraction(text, 3)}
+    return contract.parse_loss(inputs.damaged_cells(spark, sf_dir), "wall_time", parsers)
+
+
+@query
+def damaged_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract.offset_profile(_damaged(spark, sf_dir), ROLES)
+
+
+@query
+def damaged_epoch_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.epoch_date_consistency(_damaged(spark, sf_dir), ROLES)
+
+
+@query
+def damaged_day_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps between the valid days of a column that also holds impossible ones."""
+    steps = calendar.day_steps(_damaged(spark, sf_dir), "day")
+    return steps.select(clock.day_key(F.col("day_date")).alias("day"), "days_since_previous")
+
+
+@query
+def damaged_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = duplicates.daily_dup_structure(_damaged(spark, sf_dir), ROLES)
+    return duplicates.neighbour_deviation(daily, ROLES)
+
+
 @query
 def storage_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _csv_folder(spark, sf_dir), scratch.scratch_path(spark, "table")
@@ -462,7 +511,18 @@ def dedupe_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def segment_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequences.segment_sequences(inputs.log(spark, sf_dir), ROLES, SEQUENCE_LENGTH)
+    return sequences.segment_sequences(inputs.log(spark, sf_dir), ROLES)
+
+
+@query
+def newest_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.newest_sequences(inputs.log(spark, sf_dir), ROLES, SEQUENCE_LENGTH)
+
+
+@query
+def sequence_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On the damaged log: events without a run are counted, not lost."""
+    return sequences.sequence_losses(_damaged(spark, sf_dir), ROLES)
 
 
 @query

@@ -5,6 +5,7 @@
 ``grid``      (user, event type): an almost fully observed matrix
 ``purchases`` lineitem with orders: (customer, part) with the order date as day
 ``raw_log``   ``log`` as the text cells of a CSV file
+``damaged_cells``  ``control`` as text cells, some of them spoiled
 """
 
 from __future__ import annotations
@@ -121,3 +122,30 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``log`` as text cells: the clock keeps only the fraction digits it needs."""
     frame = log(spark, sf_dir)
     return frame.select(*[F.col(c).cast("string").alias(c) for c in frame.columns])
+
+
+def damaged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``control`` as text cells with spoiled days, clocks and epochs; its blanks stay blank."""
+    frame = control(spark, sf_dir)
+    text = frame.select(*[F.col(c).cast("string").alias(c) for c in frame.columns])
+    turn = F.col("user_id").cast("bigint") % 11
+    day = F.col("day")
+    spoiled = (
+        F.when(day.isNull(), day)
+        .when(turn == 1, "1e30")
+        .when(turn == 2, "NaN")
+        .when(turn == 3, F.concat(day, F.lit(".7")))
+        .when(turn == 4, F.concat(day, F.lit(".0")))
+        .when(turn == 5, F.concat(F.lit("2024023"), (F.col("item_id").cast("bigint") % 3).cast("string")))
+        .otherwise(day)
+    )
+    epoch = F.col("epoch_s")
+    off = (
+        F.when(epoch.isNull(), epoch)
+        .when(turn == 6, "NaN")
+        .when(turn == 7, "1e300")
+        .when(turn == 8, "Infinity")
+        .otherwise(epoch)
+    )
+    clock_cell = F.when(F.col("wall_time").isNotNull() & (turn == 9), "no clock").otherwise(F.col("wall_time"))
+    return text.withColumns({"day": spoiled, "epoch_s": off, "wall_time": clock_cell})

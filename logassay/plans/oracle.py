@@ -58,6 +58,31 @@ control AS (
          CASE WHEN kind <> 'signup' THEN epoch_s END AS epoch_s, ratio
   FROM exposures)"""
 
+# The control log after its damage: what each spoiled cell must come out as.
+DAMAGED = f"""{CONTROL},
+spoiled AS (
+  SELECT *, user_id % 11 AS turn,
+         CASE WHEN day IS NULL THEN NULL WHEN user_id % 11 = 1 THEN '1e30' WHEN user_id % 11 = 2 THEN 'NaN'
+              WHEN user_id % 11 = 3 THEN CAST(day AS VARCHAR) || '.7'
+              WHEN user_id % 11 = 4 THEN CAST(day AS VARCHAR) || '.0'
+              WHEN user_id % 11 = 5 THEN '2024023' || CAST(item_id % 3 AS VARCHAR)
+              ELSE CAST(day AS VARCHAR) END AS day_cell,
+         CASE WHEN wall_time IS NOT NULL AND user_id % 11 = 9 THEN 'no clock'
+              ELSE CAST(wall_time AS VARCHAR) END AS clock_cell,
+         CASE WHEN epoch_s IS NULL THEN NULL WHEN user_id % 11 = 6 THEN CAST('NaN' AS DOUBLE)
+              WHEN user_id % 11 = 7 THEN 1e300 WHEN user_id % 11 = 8 THEN CAST('Infinity' AS DOUBLE)
+              ELSE epoch_s END AS epoch_cell
+  FROM control),
+damaged AS (
+  SELECT user_id, item_id, played_ms, length_ms,
+         CASE WHEN turn <> 9 THEN wall_time END AS wall_time,
+         CASE WHEN regexp_full_match(day_cell, '[0-9]{{8}}([.]0)?')
+              THEN CAST(substr(day_cell, 1, 8) AS BIGINT) END AS day,
+         epoch_cell AS epoch_s, ratio
+  FROM spoiled)"""
+SOUND = "epoch_s IS NOT NULL AND NOT isnan(epoch_s) AND epoch_s BETWEEN -62135510400 AND 253402214399"
+TRY_DATE = "CAST(try_strptime(CAST({} AS VARCHAR), '%Y%m%d') AS DATE)"
+
 PURCHASES = """
 purchases AS (
   SELECT o_custkey AS user_id, l_partkey AS item_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
@@ -209,15 +234,16 @@ SELECT CAST(8 AS BIGINT) AS columns, '' AS missing, '' AS surplus, true AS day_t
        count(*) FILTER (WHERE wall_time IS NULL) AS time_nulls
 FROM log"""
 
-LOG_OFFSETS = """
-offsets AS (SELECT epoch_us(wall_time) - CAST(round(epoch_s * 1000) AS BIGINT) * 1000 AS us FROM log
-            WHERE wall_time IS NOT NULL AND epoch_s IS NOT NULL)"""
+OFFSETS = f"""
+offsets AS (SELECT CASE WHEN {SOUND} THEN epoch_us(wall_time) - CAST(round(epoch_s * 1000) AS BIGINT) * 1000 END AS us
+            FROM {{}} WHERE wall_time IS NOT NULL AND epoch_s IS NOT NULL)"""
+LOG_OFFSETS = OFFSETS.format("log")
 
 
 def offset_profile(source: str, shift_us: int) -> str:
     return f"""
 SELECT count(DISTINCT us // 1000) AS distinct_offsets, min(us // 1000) AS min_offset_ms,
-       max(us // 1000) AS max_offset_ms, count(*) AS compared_rows,
+       max(us // 1000) AS max_offset_ms, count(us) AS compared_rows, count(*) - count(us) AS invalid_rows,
        count(*) FILTER (WHERE us <> {shift_us}) AS deviating_rows,
        max(abs(us - {shift_us})) AS max_deviation_us
 FROM {source}"""
@@ -244,11 +270,13 @@ SELECT count(*) FILTER (WHERE wall_time IS NOT NULL AND day IS NOT NULL) AS cloc
        count(*) FILTER (WHERE {DAYKEY.format("wall_time")} <> day) AS clock_mismatch
 FROM log"""
 
-EPOCH = f"""
-SELECT count(*) FILTER (WHERE epoch_s IS NOT NULL AND day IS NOT NULL) AS epoch_eligible,
-       count(*) FILTER (WHERE {DAYKEY.format("make_timestamp(CAST(trunc(epoch_s + 28800) AS BIGINT) * 1000000)")}
-                        <> day) AS epoch_mismatch
-FROM log"""
+EPOCH_OF = f"""
+SELECT count(*) FILTER (WHERE sound AND day IS NOT NULL) AS epoch_eligible,
+       count(*) FILTER (WHERE {DAYKEY.format("make_timestamp(CAST(trunc(s + 28800) AS BIGINT) * 1000000)")}
+                        <> day) AS epoch_mismatch,
+       count(*) FILTER (WHERE epoch_s IS NOT NULL AND NOT sound) AS epoch_invalid
+FROM (SELECT day, epoch_s, coalesce({SOUND}, false) AS sound, CASE WHEN {SOUND} THEN epoch_s END AS s FROM {{}})"""
+EPOCH = EPOCH_OF.format("log")
 
 OVER = """
 SELECT count(*) FILTER (WHERE played_ms IS NOT NULL AND length_ms > 0) AS over_eligible,
@@ -403,6 +431,19 @@ SELECT '{source}' AS table_name, count(*) AS rows, '{column}' AS column_name,
 # ---------------------------------------------------------------- verdicts
 
 
+def lost(cell: str, parsers: dict[str, str]) -> str:
+    """Blank cells and cells that each test refuses, in the damaged log."""
+    return " UNION ALL ".join(
+        f"""
+SELECT '{name}' AS parser, count(*) AS rows, count(*) FILTER (WHERE {cell} IS NULL) AS blank_rows,
+       count(*) FILTER (WHERE NOT coalesce({test}, false)) AS parsed_nulls,
+       count(*) FILTER (WHERE {cell} IS NOT NULL AND NOT {test}) AS lost_rows,
+       {pct(f"count(*) FILTER (WHERE {cell} IS NOT NULL AND NOT {test})", "count(*)", 2)} AS lost_pct
+FROM spoiled"""
+        for name, test in parsers.items()
+    )
+
+
 def judged(subject: str, rules: Sequence[Rule], *facts: str) -> str:
     joined = ", ".join(f"({f}) AS f{i}" for i, f in enumerate(facts))
     rows = []
@@ -506,6 +547,27 @@ def oracle() -> dict[str, str]:
     q = {
         "typed_ingest": with_(LOG, f"SELECT {COLUMNS} FROM log"),
         "incremental_ingest": with_(LOG, f"SELECT {COLUMNS} FROM log"),
+        "damaged_ingest": with_(DAMAGED, f"SELECT {COLUMNS} FROM damaged"),
+        "damaged_day_loss": with_(DAMAGED, lost(
+            "day_cell", {"whole_number": "regexp_full_match(day_cell, '[0-9]{8}([.]0)?')",
+                         "any_number": "TRY_CAST(day_cell AS DOUBLE) IS NOT NULL"})),
+        "damaged_clock_loss": with_(DAMAGED, lost(
+            "clock_cell", {"any_fraction": "TRY_CAST(clock_cell AS TIMESTAMP) IS NOT NULL",
+                           "three_digits": r"regexp_matches(clock_cell, '\.[0-9]{3}$')"})),
+        "damaged_offsets": with_(
+            f"{DAMAGED},{OFFSETS.format('damaged')}", offset_profile("offsets", 28_800_000_000)),
+        "damaged_epoch_days": with_(DAMAGED, rated("epoch", EPOCH_OF.format("damaged"))),
+        "damaged_day_steps": with_(DAMAGED, f"""
+SELECT {DAYKEY.format("d")} AS day, d - lag(d) OVER (ORDER BY d) AS days_since_previous
+FROM (SELECT DISTINCT {TRY_DATE.format("day")} AS d FROM damaged) WHERE d IS NOT NULL"""),
+        "damaged_neighbours": with_(DAMAGED, f"""
+SELECT a.day, a.uniq_rows, a_n AS neighbours, round(mean, 4) AS neighbour_mean,
+       round(abs(a.uniq_rows - mean) / mean, 6) AS deviation
+FROM (SELECT a.day, a.uniq_rows, count(b.day) AS a_n, avg(b.uniq_rows) AS mean
+      FROM (SELECT day, count(*) AS uniq_rows FROM (SELECT DISTINCT * FROM damaged) GROUP BY day) a
+      LEFT JOIN (SELECT day, count(*) AS uniq_rows FROM (SELECT DISTINCT * FROM damaged) GROUP BY day) b
+        ON abs({TRY_DATE.format("a.day")} - {TRY_DATE.format("b.day")}) = 1
+      WHERE a.day IS NOT NULL GROUP BY a.day, a.uniq_rows) a"""),
         "table_contract": with_(LOG, CONTRACT),
         "null_excess": with_(raw_text, f"""
 SELECT rows, parsed_nulls, baseline_nulls, greatest(parsed_nulls - baseline_nulls, 0) AS lost_rows,
@@ -628,9 +690,17 @@ SELECT user_id, item_id, count(*) AS rows, CAST(sum(played_ms) AS BIGINT) AS tot
        max(ratio) AS max_ratio, min(wall_time) AS first_time, max(wall_time) AS last_time
 FROM log GROUP BY user_id, item_id"""),
         "segment_sequences": with_(f"{LOG},{SEGMENTED}", f"""
-SELECT user_id, segment, count(*) AS events,
+SELECT l.user_id, n.segment, l.wall_time, l.item_id
+FROM log l LEFT JOIN numbered n ON {TO_DATE.format("l.day")} = n.d"""),
+        "sequence_losses": with_(DAMAGED, f"""
+SELECT count(*) AS events, count({TRY_DATE.format("day")}) AS in_a_run,
+       count(*) FILTER (WHERE day IS NULL) AS null_day,
+       count(*) FILTER (WHERE day IS NOT NULL AND {TRY_DATE.format("day")} IS NULL) AS impossible_day
+FROM damaged"""),
+        "newest_sequences": with_(f"{LOG},{SEGMENTED}", f"""
+SELECT user_id, segment, max(n) AS events_total, count(*) AS events,
        string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY rn DESC) AS items
-FROM (SELECT l.user_id, n.segment, l.item_id,
+FROM (SELECT l.user_id, n.segment, l.item_id, count(*) OVER (PARTITION BY l.user_id, n.segment) AS n,
              row_number() OVER (PARTITION BY l.user_id, n.segment
                                 ORDER BY l.wall_time DESC, l.item_id DESC) AS rn
       FROM log l JOIN numbered n ON {TO_DATE.format("l.day")} = n.d)

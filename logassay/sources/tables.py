@@ -41,6 +41,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 CORRUPT = "_corrupt_record"
+# Doubles up to here hold every whole number.
+WHOLE_LIMIT = float(2**53)
 
 
 def bad_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -61,11 +63,29 @@ def bad_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def whole_day(text: Column, day_type: str = "bigint") -> Column:
+    """A day cell that is a whole number ('20240101' or '20240101.0'), else null.
+
+    Fractions, NaN, infinities and numbers beyond 2^53 are no days.
+    """
+    number = text.try_cast("double")
+    whole = number.between(-WHOLE_LIMIT, WHOLE_LIMIT) & (F.rint(number) == number)
+    return F.when(whole, number).cast(day_type)
+
+
 def typed(raw: DataFrame, roles: Roles, day_type: str = "bigint") -> DataFrame:
-    """Text columns of a log to their types: lenient clock, whole-number day."""
-    day: Column = F.col(roles.day).try_cast("double").cast(day_type)
+    """Text columns of a log to their types: lenient clock, whole-number day, numbers as they read."""
+    numbers = {
+        c: F.col(c).try_cast(kind)
+        for c, kind in (
+            (roles.user, "bigint"), (roles.item, "bigint"), (roles.numerator, "bigint"),
+            (roles.denominator, "bigint"), (roles.epoch, "double"), (roles.ratio, "double"),
+        )
+        if c in raw.columns and isinstance(raw.schema[c].dataType, T.StringType)
+    }
+    day = whole_day(F.col(roles.day), day_type)
     return raw.withColumns(
-        {roles.wall_time: clock.parse_wall_clock(F.col(roles.wall_time)), roles.day: day}
+        {roles.wall_time: clock.parse_wall_clock(F.col(roles.wall_time)), roles.day: day, **numbers}
     )
 
 
