@@ -121,6 +121,9 @@ COMMANDS: dict[str, Callable[[SparkSession, Registry, argparse.Namespace], Repor
 }
 
 
+NEEDED = {"diff": ("left", "right"), "peaks": ("partial", "whole")}
+
+
 def _extend(report: Report, more: Report) -> None:
     report.tables.update(more.tables)
     report.judged.extend(more.judged)
@@ -142,7 +145,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--formats", action="store_true", help="also time a full read of CSV and Parquet")
     p.add_argument("--mode", default="errorifexists", choices=("errorifexists", "overwrite"))
     p.add_argument("--out", help="folder for the tables as Parquet")
-    p.add_argument("--show", type=int, default=100, help="rows printed per table")
+    p.add_argument("--show", type=int, help="rows printed per table; all when left out")
     return p
 
 
@@ -151,11 +154,15 @@ def _publish(name: str, table: DataFrame, args: argparse.Namespace) -> None:
         folder = re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_")
         table.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{args.command}_{folder}")
     print(f"\n{name}")
-    table.show(args.show, truncate=False)
+    table.show(args.show if args.show is not None else table.count(), truncate=False)
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    lacking = [f"--{x}" for x in NEEDED.get(args.command, ()) if getattr(args, x) is None]
+    if lacking:
+        parser.error(f"{args.command} needs {' and '.join(lacking)}")
     registry = Registry.load(args.registry)
     spark = spark or build_session()
     try:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logassay.functions import clock
-from logassay.functions.numeric import filtered_sum, nulls, percent, rows_where
+from logassay.functions.numeric import filtered_sum, nulls, percent, rows_where, total
 from logassay.roles import Roles
 
 # Type names that count as a whole-number or calendar day.
@@ -18,12 +18,16 @@ CLOCK_TYPES = ("timestamp_ntz", "timestamp")
 
 def table_contract(df: DataFrame, expected: Sequence[str], roles: Roles) -> DataFrame:
     """One row: exact column set, day and clock types, sizes, and the nulls of both clocks."""
-    sizes = df.agg(
-        F.count(F.lit(1)).alias("rows"),
+    day, rows = F.col(roles.day), F.col("_rows")
+    grain = df.groupBy(roles.day, *roles.pair).agg(
+        F.count(F.lit(1)).alias("_rows"), nulls(F.col(roles.wall_time)).alias("_untimed")
+    )
+    sizes = grain.agg(
+        total(rows).alias("rows"),
         F.count_distinct(roles.user).alias("users"),
         F.count_distinct(roles.item).alias("items"),
-        nulls(F.col(roles.day)).alias("day_nulls"),
-        nulls(F.col(roles.wall_time)).alias("time_nulls"),
+        filtered_sum(day.isNull(), rows).alias("day_nulls"),
+        total(F.col("_untimed")).alias("time_nulls"),
     )
     return with_schema_facts(sizes, df, expected, roles)
 

@@ -12,31 +12,35 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logassay.functions.numeric import percent, total
+from logassay.functions.numeric import filtered_sum, percent, total
 from logassay.roles import Roles
 
 
 def matrix_coverage(df: DataFrame, roles: Roles) -> DataFrame:
-    """Observed pairs against users x items. The product is a number, never a table."""
-    pairs = (
-        df.where(F.col(roles.user).isNotNull() & F.col(roles.item).isNotNull())
-        .groupBy(*roles.pair)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Observed pairs against users x items. The product is a number, never a table.
+
+    ``expected_pairs`` and ``gap`` are null when the product exceeds a bigint; the
+    percentage is then still right. Rows lacking a key are counted in ``keyless_rows``.
+    """
+    keyed = F.col(roles.user).isNotNull() & F.col(roles.item).isNotNull()
+    pairs = df.groupBy(*roles.pair).agg(F.count(F.lit(1)).alias("n")).withColumn("_keyed", keyed)
     sizes = pairs.agg(
-        F.count_distinct(roles.user).alias("users"),
-        F.count_distinct(roles.item).alias("items"),
-        F.count(F.lit(1)).alias("actual_pairs"),
-        F.count_if(F.col("n") > 1).alias("dup_pairs"),
+        F.count_distinct(F.when(F.col("_keyed"), F.col(roles.user))).alias("users"),
+        F.count_distinct(F.when(F.col("_keyed"), F.col(roles.item))).alias("items"),
+        F.count_if("_keyed").alias("actual_pairs"),
+        F.count_if(F.col("_keyed") & (F.col("n") > 1)).alias("dup_pairs"),
+        filtered_sum(~F.col("_keyed"), F.col("n")).alias("keyless_rows"),
     )
-    return sizes.withColumn("expected_pairs", F.col("users") * F.col("items")).select(
+    product = F.col("users").cast("double") * F.col("items").cast("double")
+    return sizes.withColumn("expected_pairs", F.try_multiply("users", "items")).select(
         "users",
         "items",
         "expected_pairs",
         "actual_pairs",
         (F.col("expected_pairs") - F.col("actual_pairs")).alias("gap"),
-        percent(F.col("actual_pairs"), F.col("expected_pairs")).alias("coverage_pct"),
+        percent(F.col("actual_pairs"), product).alias("coverage_pct"),
         "dup_pairs",
+        "keyless_rows",
     )
 
 

@@ -11,18 +11,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from logassay.functions.keys import comparable
 from logassay.roles import Roles
 
 
 def drop_exact(df: DataFrame) -> DataFrame:
-    """One row per distinct row."""
-    return df.dropDuplicates()
+    """One row per distinct row; maps compare by their entries."""
+    maps = {f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)}
+    if not maps:
+        return df.dropDuplicates()
+    flat = df.select(*[comparable(f) for f in df.schema.fields]).distinct()
+    return flat.select(*[F.map_from_entries(c).alias(c) if c in maps else F.col(c) for c in df.columns])
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], best_first: Sequence[Column]) -> DataFrame:
     """One row per key: the first by ``best_first``, then by all other columns, so the pick is fixed."""
-    ties = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
+    ties = [comparable(f).desc_nulls_last() for f in df.schema.fields if f.name not in keys]
     order = Window.partitionBy(*keys).orderBy(*best_first, *ties)
     return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 

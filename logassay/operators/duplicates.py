@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logassay.functions import clock
+from logassay.functions.keys import comparable
 from logassay.functions.numeric import filtered_sum, percent, ratio, total
 from logassay.roles import Roles
 
@@ -28,11 +29,7 @@ from logassay.roles import Roles
 
 def row_copies(df: DataFrame) -> DataFrame:
     """Distinct rows with their number of copies. Null equals null; maps compare by entries."""
-    keys = [
-        F.array_sort(F.map_entries(f.name)).alias(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name)
-        for f in df.schema.fields
-    ]
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    return df.groupBy(*[comparable(f) for f in df.schema.fields]).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def pair_days(df: DataFrame, roles: Roles) -> DataFrame:

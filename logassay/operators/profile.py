@@ -26,20 +26,27 @@ def scale_profile(df: DataFrame, roles: Roles, rsd: float | None = None) -> Data
     swaps the exact counts for sketches of that relative error and no shuffle of keys.
     """
     user, item, day = F.col(roles.user), F.col(roles.item), F.col(roles.day)
-
-    def distinct(c: Column) -> Column:
-        return F.count_distinct(c) if rsd is None else F.approx_count_distinct(c, rsd)
-
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        distinct(user).alias("users"),
-        distinct(item).alias("items"),
-        distinct(day).alias("days"),
+    if rsd is not None:
+        return df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.approx_count_distinct(c, rsd).alias(n) for c, n in ((user, "users"), (item, "items"), (day, "days"))],
+            F.min(day).alias("day_min"),
+            F.max(day).alias("day_max"),
+            *[nulls(c).alias(f"{n}_nulls") for c, n in ((user, "user"), (item, "item"), (day, "day"))],
+        )
+    # Rows fold to their keys first; the distinct counts then work on the folded rows.
+    grain = df.groupBy(roles.day, *roles.pair).agg(F.count(F.lit(1)).alias("_rows"))
+    return grain.agg(
+        total(F.col("_rows")).alias("rows"),
+        F.count_distinct(user).alias("users"),
+        F.count_distinct(item).alias("items"),
+        F.count_distinct(day).alias("days"),
         F.min(day).alias("day_min"),
         F.max(day).alias("day_max"),
-        nulls(user).alias("user_nulls"),
-        nulls(item).alias("item_nulls"),
-        nulls(day).alias("day_nulls"),
+        *[
+            filtered_sum(c.isNull(), F.col("_rows")).alias(f"{n}_nulls")
+            for c, n in ((user, "user"), (item, "item"), (day, "day"))
+        ],
     )
 
 
@@ -172,9 +179,13 @@ def rare_keys(df: DataFrame, key: str, threshold: int = 10) -> DataFrame:
 
 
 def daily_activity(df: DataFrame, roles: Roles, weight: str | None = None) -> DataFrame:
-    """Rows, active users and active items per day; the null day stays as a group."""
-    return df.groupBy(roles.day).agg(
-        _row_count(weight).alias("interactions"),
+    """Rows, active users and active items per day; the null day stays as a group.
+
+    Rows fold to (day, user, item) first, so the distinct counts expand folded rows only.
+    """
+    grain = df.groupBy(roles.day, *roles.pair).agg(_row_count(weight).alias("_rows"))
+    return grain.groupBy(roles.day).agg(
+        F.sum("_rows").alias("interactions"),
         F.count_distinct(roles.user).alias("active_users"),
         F.count_distinct(roles.item).alias("active_items"),
     )

@@ -63,6 +63,13 @@ def exit_code(verdicts: DataFrame) -> int:
 
 
 def merge_facts(*one_row: DataFrame) -> DataFrame:
-    """Puts one-row frames side by side without a join: union by name, then max."""
+    """Puts one-row frames side by side without a join: union by name, then max.
+
+    A column in two frames is refused, as the larger value would hide the other.
+    """
+    names = [c for df in one_row for c in df.columns]
+    twice = sorted({c for c in names if names.count(c) > 1})
+    if twice:
+        raise ValueError(f"facts given twice: {', '.join(twice)}")
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row)
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from logassay.operators.verdict import Rule
 from logassay.plans import suites
-from logassay.plans.catalog import RATES, SEGMENTS, SEQUENCE_LENGTH, SPLITS
+from logassay.plans.catalog import CUT_BYTES, PUBLISHED, RATES, SEGMENTS, SEQUENCE_LENGTH, SPLITS
 from logassay.plans.inputs import PARTIAL_DOUBLE, PEAKS, WHOLE_DOUBLE
 
 A, B = PARTIAL_DOUBLE, WHOLE_DOUBLE
@@ -191,10 +191,12 @@ def coverage(source: str, item: str) -> str:
     return f"""
 SELECT users, items, users * items AS expected_pairs, actual_pairs,
        users * items - actual_pairs AS gap,
-       {pct("actual_pairs", "(users * items)")} AS coverage_pct, dup_pairs
+       {pct("actual_pairs", "(users * items)")} AS coverage_pct, dup_pairs,
+       (SELECT count(*) FROM {source} WHERE user_id IS NULL OR {item} IS NULL) AS keyless_rows
 FROM (SELECT count(DISTINCT user_id) AS users, count(DISTINCT {item}) AS items,
              count(*) AS actual_pairs, count(*) FILTER (WHERE n > 1) AS dup_pairs
-      FROM (SELECT user_id, {item}, count(*) AS n FROM {source} GROUP BY user_id, {item}))"""
+      FROM (SELECT user_id, {item}, count(*) AS n FROM {source}
+            WHERE user_id IS NOT NULL AND {item} IS NOT NULL GROUP BY user_id, {item}))"""
 
 
 def presence(left: str, right: str) -> str:
@@ -316,7 +318,10 @@ summary AS (
 
 LADDER_FACTS = """
 SELECT total_rows - uniq_rows AS exact_removed, uniq_rows - pair_days AS within_day_removed,
-       pair_days - distinct_pairs AS cross_day_removed, true AS adds_up FROM summary"""
+       pair_days - distinct_pairs AS cross_day_removed,
+       (SELECT count(*) FROM log) - (SELECT count(*) FROM (SELECT DISTINCT user_id, item_id FROM log))
+       = (total_rows - uniq_rows) + (uniq_rows - pair_days) + (pair_days - distinct_pairs) AS adds_up
+FROM summary"""
 
 NEIGHBOURS = f"""
 around AS (
@@ -409,6 +414,15 @@ FEATURES = {
 }
 
 
+def cut_bytes(source: str, column: str, size: int) -> str:
+    """Values whose first ``size`` bytes end inside a character: the next byte continues one."""
+    after = f"substr(hex(encode({column})), {2 * size + 1}, 1) IN ('8', '9', 'A', 'B')"
+    return f"""
+SELECT '{source}' AS table_name, count(*) AS rows, '{column}' AS column_name,
+       count(*) FILTER (WHERE {column} IS NULL) AS null_rows,
+       count(*) FILTER (WHERE {after}) AS invalid_rows FROM {source}"""
+
+
 def split_case() -> str:
     whens = " ".join(f"WHEN day BETWEEN {r.first} AND {r.last} THEN '{r.name}'" for r in SPLITS)
     return f"CASE {whens} ELSE 'quarantine' END"
@@ -444,6 +458,48 @@ FROM spoiled"""
     )
 
 
+# What each rule demands, written for these facts apart from the Spark side's wording.
+HOLDS = {
+    "columns": "columns = 8 AND length(missing || surplus) = 0",
+    "day_type": "day_typed",
+    "time_loss": "time_typed AND NOT time_nulls > day_nulls",
+    "offset": "min_offset_ms = max_offset_ms",
+    "offset_value": "compared_rows > 0 AND max_deviation_us = 0 OR compared_rows = 0",
+    "scale": "least(rows, users, items) >= 1 AND day_max >= day_min",
+    "user_tail": "user_max >= 1",
+    "item_tail": "item_max >= 1",
+    "ratio_spread": "measured >= 1",
+    "ratio": "NOT ratio_mismatch > 0",
+    "day_clock": "NOT clock_mismatch > 0",
+    "daily": "max_rows >= 1",
+    "observed": "CAST(actual_pairs AS HUGEINT) * 100 >= CAST(users AS HUGEINT) * items * 99",
+    "covers": "covered_items >= 1",
+    "overlap": "shared_days >= 1",
+    "copies": "total_rows >= 1",
+    "pairs": "distinct_pairs >= 1",
+    "over": "over_eligible >= 1",
+    "zero": "total_rows >= 1",
+    "epoch_day": "NOT epoch_mismatch > 0",
+    "subset": "left_keys = shared_keys",
+    "days": "left_days + right_days >= 1",
+    "segments": f"segments = {SEGMENTS} AND gaps + 1 = segments",
+    "top_copies": f"removed_dups_day = {A}",
+    "partial_neighbours": "partial_neighbours_removed = 0 AND partial_clean",
+    "top_rows": f"rows_day = {A}",
+    "top_uniq": f"uniq_rows_day IS DISTINCT FROM {A}",
+    "partial_close": "partial_close",
+    "whole_in_pairs": "whole_in_pairs",
+    "whole_doubled": "whole_rows = whole_removed + whole_removed",
+    "whole_close": "whole_close",
+    "no_outlier": "no_outlier_after",
+    "localized": "other_removed = 0 AND peak_removed = removed_dups",
+    "spreads": "other_pair_removed >= 1",
+    "ladder": "adds_up",
+    "clean": "removed_dups = 0",
+    "reproduced": " AND ".join(f"{k} IN ({v})" for k, v in PUBLISHED.items()),
+}
+
+
 def judged(subject: str, rules: Sequence[Rule], *facts: str) -> str:
     joined = ", ".join(f"({f}) AS f{i}" for i, f in enumerate(facts))
     rows = []
@@ -454,7 +510,7 @@ def judged(subject: str, rules: Sequence[Rule], *facts: str) -> str:
         )
         rows.append(
             f"SELECT '{subject}.{r.check_id}' AS check_id, '{r.description}' AS description, "
-            f"CASE WHEN coalesce({r.holds}, false) THEN 'PASS' ELSE 'FAIL' END AS verdict, "
+            f"CASE WHEN coalesce({HOLDS[r.check_id]}, false) THEN 'PASS' ELSE 'FAIL' END AS verdict, "
             f"concat({evidence}) AS evidence FROM {subject.replace('.', '_')}"
         )
     return f"{subject.replace('.', '_')} AS (SELECT * FROM {joined})", " UNION ALL ".join(rows)
@@ -500,7 +556,7 @@ SUITES = {
     ],
     "peak": [
         judged(
-            "peak.log", suites.peak_rules(A, B, {}),
+            "peak.log", suites.peak_rules(A, B, PUBLISHED),
             "SELECT max(CASE WHEN metric = 'removed_dups' THEN peak_day END) AS removed_dups_day,"
             " max(CASE WHEN metric = 'rows' THEN peak_day END) AS rows_day,"
             f" max(CASE WHEN metric = 'uniq_rows' THEN peak_day END) AS uniq_rows_day FROM ({PEAKS_OF})",
@@ -651,6 +707,8 @@ FROM (SELECT (SELECT count(*) FROM log) AS rows, (SELECT count(*) FROM (SELECT D
             utf8(t, c) for t, c in (
                 ("documents", "text"), ("documents", "lang"), ("documents", "source"), ("pages", "url"),
                 ("pages", "html"), ("conversations", "role"), ("conversations", "text"))),
+        "utf8_cut_bytes": " UNION ALL ".join(
+            cut_bytes(t, c, CUT_BYTES) for t, c in (("documents", "text"), ("conversations", "text"))),
         "daily_dup_structure": with_(LOG_DAILY, "SELECT * FROM daily"),
         "pair_value_conflicts": with_(LOG_DAILY, f"""
 SELECT day, rows, uniq_rows - distinct_pairs AS conflict_rows,

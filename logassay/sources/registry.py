@@ -76,6 +76,9 @@ class Registry:
             entry = dict(self.document["datasets"][name])
         except KeyError as e:
             raise KeyError(f"no dataset {name!r} in the registry") from e
+        lacking = [k for k in ("csv", "parquet") if k not in entry]
+        if lacking:
+            raise ValueError(f"dataset {name!r} lacks {' and '.join(lacking)} in the registry")
         return Dataset(
             name,
             self.resolve(self.document.get("raw_dir", ""), entry.pop("csv")),
