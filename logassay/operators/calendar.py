@@ -24,17 +24,20 @@ def day_steps(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
     which are folded again: all impossible days are one null by then, so the window
     holds at most one row per calendar day and one more, whatever the column holds.
     The null is dropped after the window: a filter placed before it would be pushed
-    down and run the conversion on every row.
+    down and run the conversion on every row. The row counts are carried along for a
+    like reason: two folds without them would be merged into one over converted rows.
     """
     earlier = Window.partitionBy(*keys).orderBy(F.col("day_date").asc_nulls_first())
     step = F.datediff("day_date", F.lag("day_date").over(earlier)).cast("bigint")
     return (
-        df.select(*keys, day)
-        .distinct()
-        .select(*keys, clock.day_key_to_date(F.col(day)).alias("day_date"))
-        .distinct()
+        df.groupBy(*keys, day)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*keys, clock.day_key_to_date(F.col(day)).alias("day_date"), "_rows")
+        .groupBy(*keys, "day_date")
+        .agg(F.sum("_rows").alias("_rows"))
         .withColumn("days_since_previous", step)
-        .where(F.col("day_date").isNotNull())
+        .where(F.col("day_date").isNotNull() & (F.col("_rows") > 0))
+        .drop("_rows")
     )
 
 

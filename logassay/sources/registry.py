@@ -6,7 +6,7 @@ The registry is a YAML or JSON document:
     raw_dir: raw
     table_dir: tables
     datasets:
-      exposure: {csv: exposure.csv, parquet: exposure.parquet, day_as: bigint}
+      exposure: {csv: exposure.csv, parquet: exposure.parquet, observed: natural}
     side_files:
       item_features: item_features.csv
     ingest: {compression: zstd, row_group_rows: 100000}

@@ -211,14 +211,16 @@ def test_hot_pair_keeps_whole_results(spark):
     assert dedupe.keep_last(df, R).count() == 3000
     kept = row(dedupe.keep_last(df, R, True).where("user_id = 1 AND date = 20240101"))
     assert kept["play_duration"] == 2999
-    newest = sequences.segment_sequences(df, R, 7).where("user_id = 1").collect()
+    newest = sequences.newest_sequences(df, R, 7).where("user_id = 1").collect()
     assert [len(r["items"].split()) for r in newest] == [7]
+    assert newest[0]["events"] == 7 and newest[0]["events_total"] == df.where("user_id = 1").count()
+    assert sequences.segment_sequences(df, R).count() == df.count()
 
 
-@pytest.mark.parametrize("name", ["keep_last", "segment_sequences"])
+@pytest.mark.parametrize("name", ["keep_last", "newest_sequences"])
 def test_rank_filters_are_limited_before_the_shuffle(spark, name):
     df = spark.createDataFrame([event(1, 1, 1)], LOG)
-    plan = (dedupe.keep_last(df, R) if name == "keep_last" else sequences.segment_sequences(df, R, 5))
+    plan = (dedupe.keep_last(df, R) if name == "keep_last" else sequences.newest_sequences(df, R, 5))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("WindowGroupLimit") == 2
 
@@ -235,8 +237,46 @@ def test_grains_are_folded_before_each_shuffle(spark):
 
 def test_sequences_stop_at_gaps(spark):
     rows = [event(1, i, d, hour=h) for i, d, h in ((10, 1, 8), (11, 1, 9), (12, 2, 8), (13, 5, 8))]
-    got = sequences.segment_sequences(spark.createDataFrame(rows, LOG), R, 2).orderBy("segment").collect()
-    assert [(r["segment"], r["items"]) for r in got] == [(1, "11 12"), (2, "13")]
+    log = spark.createDataFrame(rows, LOG)
+    got = sequences.newest_sequences(log, R, 2).orderBy("segment").collect()
+    assert [(r["segment"], r["events_total"], r["items"]) for r in got] == [(1, 3, "11 12"), (2, 1, "13")]
+    assert [r["segment"] for r in sequences.segment_sequences(log, R).orderBy("video_id").collect()] == [1, 1, 1, 2]
+
+
+def test_a_hot_user_loses_no_event_and_is_split(spark):
+    rows = [event(1, i, 1 + i % 3) for i in range(5000)] + [event(2, 1, 1), event(2, 2, 1, date=None), event(2, 3, 1, date=20240230)]
+    log = spark.createDataFrame(rows, LOG)
+    got = sequences.segment_sequences(log, R)
+    assert got.count() == 5003 and got.where("segment IS NULL").count() == 2
+    assert sorted(r[0] for r in got.where("user_id = 1").select("video_id").collect()) == list(range(5000))
+    assert "rangepartitioning" in got._jdf.queryExecution().executedPlan().toString()
+    lost = sequences.sequence_losses(log, R).first()
+    assert (lost.events, lost.in_a_run, lost.null_day, lost.impossible_day) == (5003, 5001, 1, 1)
+
+
+@pytest.mark.parametrize("newest", [0, 1001])
+def test_newest_beyond_the_group_limit_is_refused(spark, newest):
+    with pytest.raises(ValueError, match="segment_sequences"):
+        sequences.newest_sequences(spark.createDataFrame([event(1, 1, 1)], LOG), R, newest)
+
+
+def test_impossible_days_have_no_neighbours(spark):
+    days = spark.createDataFrame([(20240101, 10), (20240102, 30), (20240230, 50), (20240231, 70), (20241399, 90), (None, 5)], "date bigint, uniq_rows bigint")
+    got = {r.date: (r.neighbours, r.neighbour_mean) for r in duplicates.neighbour_deviation(days, R).collect()}
+    assert got == {20240101: (1, 30.0), 20240102: (1, 10.0), 20240230: (0, None), 20240231: (0, None), 20241399: (0, None)}
+
+
+def test_days_are_folded_again_as_dates_before_the_window(spark):
+    df = spark.createDataFrame([(20240101,), (20240230,), (20240231,), (None,)], "date bigint")
+    text = calendar.day_steps(df, "date")._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Window") < text.index("Aggregate") < text.rindex("Aggregate")
+    assert calendar.day_steps(df, "date").count() == 1
+
+
+def test_maps_do_not_stop_dedupe(spark):
+    df = spark.sql("SELECT 1 AS user_id, 2 AS video_id, timestamp_ntz'2024-01-01' AS time, map('a', 1, 'b', 2) AS m UNION ALL SELECT 1, 2, timestamp_ntz'2024-01-01', map('b', 2, 'a', 1)")
+    assert dedupe.drop_exact(df).count() == 1
+    assert dedupe.keep_one(df, ["user_id"], [F.col("time")]).count() == 1
 
 
 def test_features_come_from_strictly_earlier_days(spark):
