@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 PASSAGE = " ".join(f"shared{i}" for i in range(60))
 LINES = "\n".join(f"a line that comes back {i}" for i in range(6))
 
@@ -43,3 +45,23 @@ CLASHING = ("_k", "k1", "cls", "n", "words", "spans", "ids", "hit", "doc", "_sta
 def frame(spark, rows, extra: bool = True):
     columns = [f"'{c}' AS {c}" for c in CLASHING] if extra else []
     return spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *columns).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def rows():
+    return made_rows()
+
+
+@pytest.fixture(scope="session")
+def docs(spark, rows):
+    return frame(spark, rows).cache()
+
+
+@pytest.fixture(scope="session")
+def benchmark(spark):
+    return spark.createDataFrame(ITEMS, "item_id long, text string")
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return frame(spark, []).limit(0)

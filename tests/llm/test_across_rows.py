@@ -3,7 +3,7 @@
 import brute
 import numpy as np
 import pytest
-from made import CLASHING, ITEMS, frame
+from made import CLASHING, ITEMS, benchmark, docs, frame, nothing, rows  # noqa: F401
 
 import corpus_pipeline
 from logassay.llm import decontamination, embedding_dedup, line_dedup, ngram_join, substring_dedup
