@@ -10,7 +10,9 @@ from collections.abc import Sequence
 
 from logassay.operators.verdict import Rule
 from logassay.plans import suites
-from logassay.plans.catalog import CUT_BYTES, PUBLISHED, RATES, SEGMENTS, SEQUENCE_LENGTH, SPLITS
+from logassay.plans.catalog import (
+    CUT_BYTES, PUBLISHED, RATES, SEGMENTS, SEQUENCE_LENGTH, SPLITS, TOP, TRAINED_BEFORE,
+)
 from logassay.plans.inputs import PARTIAL_DOUBLE, PEAKS, WHOLE_DOUBLE
 
 A, B = PARTIAL_DOUBLE, WHOLE_DOUBLE
@@ -137,6 +139,13 @@ shipping AS (
   SELECT epoch_us(o_orderdate) - epoch_us(l_shipdate) AS us
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
+POPULAR = f"""
+popular AS (
+  SELECT row_number() OVER (ORDER BY users DESC, item_id) AS rank, item_id, users, rows
+  FROM (SELECT item_id, count(DISTINCT user_id) AS users, count(*) AS rows FROM log
+        WHERE day < {TRAINED_BEFORE} GROUP BY item_id)
+  QUALIFY rank <= {TOP})"""
+
 PROBABILITIES = (0.25, 0.50, 0.75, 0.90, 0.99)
 
 
@@ -763,6 +772,16 @@ FROM (SELECT l.user_id, n.segment, l.item_id, count(*) OVER (PARTITION BY l.user
                                 ORDER BY l.wall_time DESC, l.item_id DESC) AS rn
       FROM log l JOIN numbered n ON {TO_DATE.format("l.day")} = n.d)
 WHERE rn <= {SEQUENCE_LENGTH} GROUP BY user_id, segment"""),
+        "popular_items": with_(f"{LOG},{POPULAR}", "SELECT * FROM popular"),
+        "ranking_metrics": with_(f"{LOG},{POPULAR}", f"""
+SELECT count(*) AS users, round(avg(CASE WHEN hits > 0 THEN 1.0 ELSE 0.0 END), 6) AS hit_rate,
+       round(avg(CAST(hits AS DOUBLE) / n), 6) AS recall,
+       round(avg(dcg / (SELECT sum(1 / log2(i + 1)) FROM range(1, least(n, {TOP}) + 1) t(i))), 6) AS ndcg,
+       round(avg(coalesce(CAST(1 AS DOUBLE) / first, 0)), 6) AS reciprocal_rank
+FROM (SELECT r.user_id, count(*) AS n, count(p.rank) AS hits,
+             coalesce(sum(1 / log2(p.rank + 1)), 0) AS dcg, min(p.rank) AS first
+      FROM (SELECT DISTINCT user_id, item_id FROM log WHERE day >= {TRAINED_BEFORE}) r
+      LEFT JOIN popular p USING (item_id) GROUP BY r.user_id)"""),
         "point_in_time_features": with_(f"{LOG},{CONTROL_ONLY}", """
 SELECT s.item_id, s.day, s.exposures, f.day AS feature_day, f.shows, f.played
 FROM (SELECT item_id, day, count(*) AS exposures FROM log GROUP BY item_id, day) s
