@@ -76,6 +76,29 @@ def postings(docs: DataFrame, vocabulary: DataFrame, rows: int) -> DataFrame:
     return tokens.join(_sized(vocabulary, rows), "word").select("term", "doc_id", "_k", "at")
 
 
+def _met(found: Column, need: Column, slop: int) -> Column:
+    """From a window's postings in one text, moved back to the window's start and sorted: the
+    starts where all lists meet, and whether all come within ``slop`` of each other anywhere."""
+    never = F.lit(-(1 << 30))
+
+    def step(state: Column, posting: Column) -> Column:
+        start = posting["start"]
+        last = [F.when(posting["bit"] == 1 << i, start).otherwise(state[f"l{i}"]) for i in range(PROBES)]
+        oldest = F.least(*[F.when(need > i, x).otherwise(start) for i, x in enumerate(last)])
+        here = (oldest == start) & (start >= 0) & (F.coalesce(F.try_element_at(state["starts"], F.lit(-1)), never) != start)
+        return F.struct(
+            *[x.alias(f"l{i}") for i, x in enumerate(last)],
+            F.when(here, F.array_append(state["starts"], start)).otherwise(state["starts"]).alias("starts"),
+            (state["near"] | ((need > 1) & (start - oldest <= slop))).alias("near"),
+        )
+
+    empty = F.struct(
+        *[never.alias(f"l{i}") for i in range(PROBES)],
+        F.array().cast("array<int>").alias("starts"), F.lit(False).alias("near"),
+    )
+    return F.aggregate(found, empty, step)
+
+
 def candidates(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int = SLOP) -> DataFrame:
     """Per document row: possible exact places and the items with a proximity match."""
     rows = texts_of(docs, "doc_id", "text").withColumn("_k", row_key())
@@ -104,23 +127,21 @@ def candidates(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: in
         ),
         "probes",
     )
-    met = (
+    listed = (
         index.join(_sized(probes, probes.count()), "term")
-        .groupBy("wid", "doc_id", "_k", (F.col("at") - F.col("off")).alias("start"))
-        .agg(F.bit_or("bit").alias("bits"), F.first("need").alias("need"))
-    )
-    exact = met.where((F.bit_count("bits") == F.col("need")) & (F.col("start") >= 0))
-    cells = F.array(*[F.floor((F.col("start") + F.lit(shift)) / slop) * 2 + F.lit(i) for i, shift in enumerate((0, slop // 2))])
-    near = (
-        met.where("need > 1")
-        .withColumn("cell", F.explode(cells))
-        .groupBy("wid", "doc_id", "_k", "cell")
-        .agg(F.bit_or("bits").alias("bits"), F.first("need").alias("need"))
+        .groupBy("wid", "doc_id", "_k")
+        .agg(
+            F.bit_or("bit").alias("bits"),
+            F.first("need").alias("need"),
+            F.collect_list(F.struct((F.col("at") - F.col("off")).alias("start"), "bit")).alias("found"),
+        )
         .where(F.bit_count("bits") == F.col("need"))
-        .select("wid", "doc_id", "_k", F.lit(None).cast("int").alias("start"))
-        .distinct()
+        .select("wid", "doc_id", "_k", _met(F.array_sort("found"), F.col("need"), slop).alias("met"))
+    )
+    both = listed.select(
+        "wid", "doc_id", "_k",
+        F.explode(F.when(F.col("met.near"), F.array_append("met.starts", F.lit(None))).otherwise(F.col("met.starts"))).alias("start"),
     )
-    both = exact.select("wid", "doc_id", "_k", "start").unionAll(near)
     return (
         both.join(_sized(windows, windows.count()), "wid")
         .groupBy("doc_id", "_k")
