@@ -120,25 +120,25 @@ GATE_WORDS = (
     "licen", "copyright", "copyleft", "reserved", "public domain", "permission is", "permission to",
     "warrant", "redistribution", "spdx",
 )
-GATE_CC = rf"(?i)cc[{OUTSIDE}]+by"
+GATE_CC = rf"cc[{OUTSIDE}]+by"
 
 
-def rules() -> list[tuple[str, int, str, str]]:
-    """label, priority, keyword and expression of every rule, in order."""
+def rules() -> list[tuple[str, int, str, str, str]]:
+    """label, priority, keyword, a part of the name it implies (or nothing) and expression of every rule."""
     out = [
-        (label, priority, keyword if keyword != "licen" or not implied else implied, form.format(name))
+        (label, priority, keyword, implied if len(implied) > 1 else "", form.format(name))
         for label, name, implied in NAMES
         for form, priority, keyword in FORMS
     ]
-    return out + [(label, priority, keyword, text) for label, text, priority, keyword in TEXTS]
+    return out + [(label, priority, keyword, "", text) for label, text, priority, keyword in TEXTS]
 
 
 def _rule_table() -> Column:
     rows = [
-        {"id": i, "label": label, "p": priority, "kw": keyword, "re": f" ({text})(?= )"}
-        for i, (label, priority, keyword, text) in enumerate(rules())
+        {"id": i, "label": label, "p": priority, "kw": keyword, "name": implied, "re": f" ({text})(?= )"}
+        for i, (label, priority, keyword, implied, text) in enumerate(rules())
     ]
-    kind = "array<struct<id:int,label:string,p:int,kw:string,re:string>>"
+    kind = "array<struct<id:int,label:string,p:int,kw:string,name:string,re:string>>"
     return F.from_json(F.lit(json.dumps(rows)), kind)
 
 
@@ -191,11 +191,11 @@ def _surviving(found: Column) -> Column:
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_matches."""
-    df = texts_of(docs, "doc_id", "text")
-    low = F.lower("text")
-    gate = F.rlike("text", F.lit(GATE_CC))
+    # A column of its own: inside the gate's alternatives it would be made for each of them.
+    df = texts_of(docs, "doc_id", "text").withColumn("low", F.lower("text"))
+    gate = F.contains(F.col("low"), F.lit("cc")) & F.rlike(F.col("low"), F.lit(GATE_CC))
     for word in GATE_WORDS:
-        gate = gate | F.contains(low, F.lit(word))
+        gate = gate | F.contains(F.col("low"), F.lit(word))
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     words = F.regexp_replace(F.translate("text", upper, upper.lower()), f"[{OUTSIDE}]+", " ")
     canonical = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
@@ -215,7 +215,11 @@ def license_scan(docs: DataFrame) -> DataFrame:
         lasts.append(F.when(hit, F.col("n_words") - after - len(phrase.split())))
         counts.append(F.when(hit, F.size(parts) - 1).otherwise(0))
         labels.append(F.when(hit, F.lit(label)))
-    tried = F.filter(_rule_table(), lambda r: F.contains(F.col("c"), r["kw"]))
+    # Cheap tests first; what is left matches, and only then are places looked for.
+    tried = F.filter(
+        _rule_table(),
+        lambda r: F.contains(F.col("c"), r["kw"]) & F.contains(F.col("c"), r["name"]) & F.rlike(F.col("c"), r["re"]),
+    )
     found = F.when(F.col("c").isNotNull(), F.flatten(F.transform(tried, _matches)))
     scanned = gated.select(
         "doc_id", "n_words",
