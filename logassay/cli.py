@@ -22,7 +22,7 @@ from logassay.roles import Roles
 from logassay.session import build_session
 from logassay.sources import storage, tables
 from logassay.sources.registry import Registry, declared_outputs
-from logassay.sources.scratch import materialize
+from logassay.sources.scratch import materialize, release, written
 from logassay.sources.tables import ParquetLayout
 
 
@@ -165,6 +165,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         parser.error(f"{args.command} needs {' and '.join(lacking)}")
     registry = Registry.load(args.registry)
     spark = spark or build_session()
+    before = written(spark)
     try:
         report = COMMANDS[args.command](spark, registry, args)
         for name, table in report.tables.items():
@@ -180,3 +181,5 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             raise
         print(f"FAIL: {e.getMessage()}")
         return 1
+    finally:
+        release(spark, before)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -30,7 +31,24 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_folder(spark).rstrip('/')}/logassay-{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark).rstrip('/')}/logassay-{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def written(spark: SparkSession) -> int:
+    """How many scratch tables this application has asked for so far."""
+    return len(_written.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Removes scratch tables asked for after ``since``; frames that read them end with them."""
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths[since:]:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(settings).delete(place, True)
+    del paths[since:]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

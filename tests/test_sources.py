@@ -164,6 +164,9 @@ def test_command_line_end_to_end(spark, registry_file, tmp_path, capsys):
     assert code == 1
     code, out = run("text")
     assert code == 0 and "invalid_rows" in out
+    # A command leaves no scratch table behind.
+    before = scratch.written(spark)
+    assert run("anomaly")[0] == 0 and scratch.written(spark) == before
 
 
 @pytest.mark.parametrize("command,lacking", [("diff", "--left and --right"), ("peaks", "--partial and --whole")])
