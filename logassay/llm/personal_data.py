@@ -11,7 +11,8 @@ are sure enough become added spans.
 
 Weights are trained piecewise: each factor is a table, so its weights are
 smoothed log frequencies of the base labels over all documents, summed by Spark.
-The shape table is bounded by ``shapes`` rows, the others by the kinds.
+The shape table has every shape. Its ``shapes`` most frequent ones travel with the
+tasks; documents with others get those by a join, so the number changes no result.
 
 Results: null and empty texts have no spans; rows are independent, so repeated
 rows, ties and extra columns change nothing; texts are searched whole; an empty
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logassay.llm.common import map_texts, texts_of
+from logassay.llm.common import map_texts, stored, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -151,35 +152,33 @@ class Graph:
 
 
 class Weights:
-    """Log factors; unseen shapes say nothing for a kind."""
-
-    def __init__(self, counts: dict[str, list[tuple[str, int, int, int]]]):
-        label = np.zeros(LABELS)
-        by_shape: dict[str, np.ndarray] = {}
-        for key, one, _, n in counts.get("shape", []):
-            by_shape.setdefault(key, np.zeros(LABELS))[one] += n
-            label[one] += n
-        prior = (label + SMOOTHING) / (label + SMOOTHING).sum()
-        self.shape = {
-            k: np.log((v + SMOOTHING * prior) / (v.sum() + SMOOTHING)) for k, v in by_shape.items()
-        }
-        none = np.full(LABELS, 1e-3)
-        none[NONE] = 1
-        self.unseen = np.log(none / none.sum())
+    """Log factors: those of the frequent shapes, and of any shape from its counts."""
+
+    def __init__(
+        self, label: np.ndarray, shapes: dict[str, list[int]], pairs: dict[str, list[tuple[int, int, int]]]
+    ):
+        self.prior = (label + SMOOTHING) / (label + SMOOTHING).sum()
+        self.shape = self.factors(shapes)
         self.pair = {}
         for name in ("chain", "skip"):
             table = np.zeros((LABELS, LABELS))
-            for _, one, two, n in counts.get(name, []):
+            for one, two, n in pairs.get(name, []):
                 table[one, two] += n
                 table[two, one] += n
             table += SMOOTHING
             side = table.sum(axis=1)
             self.pair[name] = np.log(table * table.sum() / np.outer(side, side))
 
-    def posterior(self, graph: Graph) -> np.ndarray:
+    def factors(self, counts: dict[str, list[int]]) -> dict[str, np.ndarray]:
+        """Log factors of shapes from their counts by label."""
+        return {
+            k: np.log((np.array(v) + SMOOTHING * self.prior) / (sum(v) + SMOOTHING)) for k, v in counts.items()
+        }
+
+    def posterior(self, graph: Graph, rare: dict[str, np.ndarray]) -> np.ndarray:
         """Label probabilities of every token, by loopy message passing."""
         given = np.array(graph.label)
-        unary = np.array([self.shape.get(s, self.unseen) for s in graph.shapes]).reshape(-1, LABELS)
+        unary = np.array([self.shape[s] if s in self.shape else rare[s] for s in graph.shapes])
         fixed = np.flatnonzero(given != NONE)
         unary[fixed] = GIVEN
         unary[fixed, given[fixed]] = 0
@@ -205,8 +204,8 @@ class Weights:
         return p / p.sum(axis=1, keepdims=True)
 
 
-def trained(docs: DataFrame, shapes: int = 4096) -> Weights:
-    """Counts of base labels per factor over all documents; bounded tables reach the driver."""
+def trained(docs: DataFrame, shapes: int = 4096) -> tuple[Weights, DataFrame | None]:
+    """Weights from the base labels of all documents, and the counts of the shapes they do not hold."""
 
     def work(raw: list[bytes], _: dict) -> dict:
         graph = Graph([t.decode() for t in raw])
@@ -226,19 +225,34 @@ def trained(docs: DataFrame, shapes: int = 4096) -> Weights:
     rows = map_texts(
         docs.select("text"), "factor string, shape string, one int, two int, n long", work
     )
-    summed = rows.groupBy("factor", "shape", "one", "two").agg(F.sum("n").alias("n"))
-    counts: dict[str, list[tuple[str, int, int, int]]] = {}
-    for r in summed.orderBy(F.col("factor") == "shape", F.desc("n"), "shape", "one").limit(shapes).collect():
-        counts.setdefault(r.factor, []).append((r["shape"], r.one, r.two, r.n))
-    return Weights(counts)
+    summed = stored(
+        rows.groupBy("factor", "shape", "one", "two").agg(F.sum("n").alias("n")), "pii-factors"
+    )
+    shape_rows, pairs = summed.where("factor = 'shape'"), {}
+    for r in summed.where("factor <> 'shape'").collect():
+        pairs.setdefault(r.factor, []).append((r.one, r.two, r.n))
+    label = np.zeros(LABELS)
+    for r in shape_rows.groupBy("one").agg(F.sum("n").alias("n")).collect():
+        label[r.one] = r.n
+    table = stored(
+        shape_rows.groupBy("shape").agg(
+            F.array(*[F.sum(F.when(F.col("one") == k, F.col("n")).otherwise(0)) for k in range(LABELS)]).alias("counts"),
+            F.sum("n").alias("n"),
+        ),
+        "pii-shapes",
+    )
+    top = {r["shape"]: r.counts for r in table.orderBy(F.desc("n"), "shape").limit(shapes).collect()}
+    return Weights(label, top, pairs), table.select("shape", "counts") if table.count() > len(top) else None
 
 
-def added_spans(texts: list[str], graph: Graph, weights: Weights, least: float) -> list[list[Span]]:
+def added_spans(
+    texts: list[str], graph: Graph, weights: Weights, least: float, rare: dict[str, np.ndarray]
+) -> list[list[Span]]:
     """Runs of adjacent sure tokens of a kind that no base span touches."""
     out: list[list[Span]] = [[] for _ in texts]
     if not graph.bounds:
         return out
-    p = weights.posterior(graph)
+    p = weights.posterior(graph, rare)
     best = p.argmax(axis=1)
     sure = (best != NONE) & (p.max(axis=1) >= least) & (np.array(graph.label) == NONE)
     linked = {b for _, b in graph.chain}
@@ -265,14 +279,21 @@ def _listed(spans: list[Span]) -> str:
 def personal_data(docs: DataFrame, least: float = 0.95, shapes: int = 4096) -> DataFrame:
     """doc_id, counts of the base spans by kind, their digest, and all spans of every row."""
     df = texts_of(docs, "doc_id", "text")
-    weights = trained(df, shapes)
+    weights, table = trained(df, shapes)
+    whole = table is None
     kind = df.schema["doc_id"].dataType.simpleString()
 
+    def unknown(text: str) -> list[str]:
+        return sorted({shape(text[a:b]) for a, b in tokens(text)} - weights.shape.keys())
+
     def work(raw: list[bytes], rest: dict) -> dict:
         texts = [t.decode() for t in raw]
+        own = [whole or "told" in rest or not unknown(t) for t in texts]
+        texts = [t if o else "" for t, o in zip(texts, own, strict=True)]
         graph = Graph(texts)
-        more = added_spans(texts, graph, weights, least)
-        out: dict[str, list] = {"doc_id": rest["doc_id"]}
+        told = {m["shape"]: m["counts"] for row in rest.get("told", []) for m in row}
+        more = added_spans(texts, graph, weights, least, weights.factors(told))
+        out: dict[str, list] = {"doc_id": rest["doc_id"], "own": own}
         for k, name in enumerate(KINDS):
             out[f"n_{name}"] = [sum(s[0] == k for s in base) for base in graph.base]
         out["base_sha256"] = [hashlib.sha256(_listed(base).encode()).hexdigest() for base in graph.base]
@@ -280,4 +301,29 @@ def personal_data(docs: DataFrame, least: float = 0.95, shapes: int = 4096) -> D
         return out
 
     counts = ", ".join(f"n_{name} long" for name in KINDS)
-    return map_texts(df, f"doc_id {kind}, {counts}, base_sha256 string, spans string", work)
+    schema = f"doc_id {kind}, {counts}, base_sha256 string, spans string, own boolean"
+    known = map_texts(df, schema, work).where("own").drop("own")
+    if whole:
+        return known
+
+    def sought(raw: list[bytes], rest: dict) -> dict:
+        texts = [t.decode() for t in raw]
+        rare = pa.array([unknown(t) for t in texts], pa.list_(pa.string()))
+        return {**rest, "text": texts, "rare": rare}
+
+    # Documents with shapes they must be told; the others are not shuffled.
+    pending = stored(
+        map_texts(
+            df.withColumn("row", F.monotonically_increasing_id()),
+            f"doc_id {kind}, row long, text string, rare array<string>", sought,
+        ).where(F.size("rare") > 0),
+        "pii-rare",
+    )
+    told = (
+        pending.select("row", F.explode("rare").alias("shape"))
+        .join(table, "shape")
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("shape", "counts")).alias("told"))
+    )
+    apart = pending.select("doc_id", "text", "row").join(told, "row").drop("row")
+    return known.unionByName(map_texts(apart, schema, work).drop("own"))

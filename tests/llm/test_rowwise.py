@@ -123,6 +123,17 @@ def test_repeated_token_gets_the_label_of_its_twin(spark):
     assert got[999].spans == "ip:45:56,card:4:20,card:28:44"
 
 
+def test_personal_data_of_rare_shapes(spark):
+    marks = [c * k for c in "-_=/~^" for k in range(1, 9)]
+    texts = [f"code x{m}{i} and y@{m} or 4111111111111111 then 4111111111111111 now" for i, m in enumerate(marks)]
+    texts += ["pay 4111111111111111 then x 4111111111111111 86.227.24.1 end =1=1=1 ~~2", "no shape"]
+    df = frame(spark, list(enumerate(texts)))
+    want = {i: r.spans for i, r in by_id(personal_data.personal_data(df)).items()}
+    assert "card:28:44" in want[len(marks)]
+    for held in (1, 20):
+        assert {i: r.spans for i, r in by_id(personal_data.personal_data(df, shapes=held)).items()} == want
+
+
 @pytest.mark.parametrize(
     "f",
     [
