@@ -46,7 +46,7 @@ NAMES = (
     ("zlib", "(?:zlib libpng|zlib)", "zlib"),
     ("boost", "boost(?: software)?", "boost"),
     ("unlicense", "(?:unlicense|the unlicense)", "unlicense"),
-    ("wtfpl", "(?:wtfpl|wtf public|do what the fuck you want to public)", "wtf"),
+    ("wtfpl", "(?:wtfpl|wtf public|do what the fuck you want to public)", "w"),
     ("cc-by-nc", "(?:cc by nc|creative commons attribution non ?commercial)", "c"),
     ("cc-by-nc-sa", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)", "c"),
     ("cc-by-nc-nd", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)", "c"),
@@ -115,10 +115,10 @@ TEXTS = (
     ("license-mention", f"(?:licen[cs]ed|{LICENSE} agreement|terms of (?:the |this )?{LICENSE})", 1, "licen"),
 )
 WEIGHTS = {4: 1.0, 3: 0.9, 2: 0.7, 1: 0.5}
-# One of these is in every text that a rule or phrase can match.
+# One of these is in every text that a rule or phrase can match; they are sought in the
+# raw text, so none of them goes beyond one word.
 GATE_WORDS = (
-    "licen", "copyright", "copyleft", "reserved", "public domain", "permission is", "permission to",
-    "warrant", "redistribution", "spdx",
+    "licen", "copyright", "copyleft", "reserved", "domain", "permission", "warrant", "redistribution", "spdx",
 )
 GATE_CC = rf"cc[{OUTSIDE}]+by"
 

@@ -1,6 +1,7 @@
 """Operators that judge each row by itself."""
 
 import random
+import re
 
 import brute
 import numpy as np
@@ -96,6 +97,52 @@ def test_hundreds_of_rules_and_all_are_gated():
         assert any(g in plain for g in gate) or "cc by" in plain, text
 
 
+def example(parsed, branch):
+    """A text the expression matches; ``branch`` picks the alternatives."""
+    out = ""
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            code, value = arg[branch % len(arg)]
+            out += chr(value) if str(code) == "LITERAL" else "7"
+        elif name == "BRANCH":
+            out += example(arg[1][branch % len(arg[1])], branch)
+        elif name == "SUBPATTERN":
+            out += example(arg[3], branch)
+        else:
+            assert name == "MAX_REPEAT", name
+            least, most, inner = arg
+            out += example(inner, branch) * max(least, branch % 2 if most else 0)
+    return out
+
+
+def test_every_rule_whatever_stands_between_its_words(spark):
+    rules = [text for *_, text in license_scan.rules()]
+    made = [[example(re._parser.parse(text), b).strip() for b in range(6)] for text in rules]
+    tried = [re.compile(f" ({text})(?= )") for text in rules]
+    # One alternative ends in a space, which the word after it takes away; the others all count.
+    told = [[e for e in own if t.search(f" {e} ")] for own, t in zip(made, tried, strict=True)]
+    assert all(told)
+    examples = sorted({e for own in told for e in own})
+    marks = ("\n", "-", "  ")
+    got = by_id(license_scan.license_scan(frame(spark, list(enumerate(e.replace(" ", m) for e in examples for m in marks)))))
+    for i, e in enumerate(examples):
+        n = sum(len(t.findall(f" {e} ")) for t in tried)
+        assert [got[i * 3 + j].n_matches for j in range(3)] == [n] * 3, e
+
+
+def test_license_names_and_texts_behind_the_gate(spark):
+    texts = [
+        "released into the public-domain", "in the public\ndomain", "do what the fuck you want to public license",
+        "Permission\nis hereby granted, free of charge, to any person",
+    ]
+    got = by_id(license_scan.license_scan(frame(spark, list(enumerate(texts)))))
+    assert [got[i].labels for i in range(4)] == ["public-domain", "public-domain", "wtfpl", "mit"]
+    assert [got[i].score for i in range(4)] == [0.7, 0.7, 0.7, 1.0]
+
+
 def test_personal_data_base_spans(docs, rows):
     got = by_id(personal_data.personal_data(docs))
     for i, t in rows:
