@@ -3,11 +3,12 @@
 The patterns give the base spans, which always stay. The field labels tokens
 that hold a digit or an at sign (all others are outside by definition) with a
 kind or with none. Its factors are a token's shape, its neighbour in the text,
-and, as skip chains, its next occurrence in the document, where tokens with the
-same letters and digits, or the same seven digits and more, count as the same.
-Tokens inside base spans are given; loopy message passing carries their labels
-to the rest, all documents of a slice at once. Adjacent tokens of one kind that
-are sure enough become added spans.
+and, as skip chains, a hub for all its occurrences in the document, where tokens
+with the same letters and digits, or the same seven digits and more, count as the
+same. Tokens inside base spans are given, and so are the hubs of such tokens; loopy
+message passing carries the labels to the rest, all documents of a slice at once,
+each until its messages rest. Adjacent tokens of one kind that are sure enough
+become added spans.
 
 Weights are trained piecewise: each factor is a table, so its weights are
 smoothed log frequencies of the base labels over all documents, summed by Spark.
@@ -43,8 +44,11 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 SMOOTHING = 0.1
 GIVEN = -30.0
-ROUNDS = 12
+RESTING = 1e-4
 DAMPING = 0.5
+# After so many rounds, and four for each link of the document, when a message has passed
+# all of them, steps shrink, so that messages that swing come to rest too.
+STEADY = 200
 
 Span = tuple[int, int, int]
 
@@ -121,18 +125,18 @@ def same_key(token: str) -> str:
 
 
 class Graph:
-    """Tokens of several documents with their shapes, base labels and links."""
+    """Tokens of several documents with their shapes, base labels and links, and hubs of equal tokens."""
 
     def __init__(self, texts: list[str]):
         self.bounds: list[tuple[int, int, int]] = []
         self.shapes: list[str] = []
         self.label: list[int] = []
         self.chain: list[tuple[int, int]] = []
-        self.skip: list[tuple[int, int]] = []
+        self.hubs: list[list[int]] = []
         self.base = [base_spans(t) for t in texts]
         for d, text in enumerate(texts):
             spans = sorted((s, e, k) for k, s, e in self.base[d])
-            before: dict[str, int] = {}
+            same: dict[str, list[int]] = {}
             at = 0
             for start, end in tokens(text):
                 i, token = len(self.bounds), text[start:end]
@@ -144,11 +148,25 @@ class Graph:
                     self.chain.append((i - 1, i))
                 key = same_key(token)
                 if len(key) > 3:
-                    if key in before:
-                        self.skip.append((before[key], i))
-                    before[key] = i
+                    same.setdefault(key, []).append(i)
                 self.bounds.append((d, start, end))
                 self.shapes.append(shape(token))
+            self.hubs += [x for x in same.values() if len(x) > 1]
+
+    def kinds_of(self, hub: list[int]) -> Counter[int]:
+        """Occurrences by the kind that base spans give them."""
+        return Counter(self.label[i] for i in hub if self.label[i] != NONE)
+
+    def skips(self) -> list[tuple[int, int]]:
+        """Labels of every hub and its occurrences, without the occurrence the hub has its label from."""
+        out = []
+        for hub in self.hubs:
+            kinds = self.kinds_of(hub)
+            own = min(kinds, key=lambda k: (-kinds[k], k)) if kinds else NONE
+            rest = Counter(self.label[i] for i in hub)
+            rest[own] -= 1
+            out += [(own, k) for k in rest.elements()]
+        return out
 
 
 class Weights:
@@ -168,6 +186,8 @@ class Weights:
             table += SMOOTHING
             side = table.sum(axis=1)
             self.pair[name] = np.log(table * table.sum() / np.outer(side, side))
+            if name == "skip":
+                self.hub = np.log(side / side.sum())
 
     def factors(self, counts: dict[str, list[int]]) -> dict[str, np.ndarray]:
         """Log factors of shapes from their counts by label."""
@@ -182,26 +202,63 @@ class Weights:
         fixed = np.flatnonzero(given != NONE)
         unary[fixed] = GIVEN
         unary[fixed, given[fixed]] = 0
-        links = [*graph.chain, *graph.skip]
+        n = len(given)
+        hubs = np.array([self.hub_unary(graph.kinds_of(x)) for x in graph.hubs]).reshape(-1, LABELS)
+        skip = [(n + h, i) for h, x in enumerate(graph.hubs) for i in x]
+        links = [*graph.chain, *skip]
         if links:
+            unary = np.concatenate([unary, hubs])
             pair = np.concatenate(
-                [np.broadcast_to(self.pair[n], (len(x), LABELS, LABELS)) for n, x in (("chain", graph.chain), ("skip", graph.skip))]
+                [np.broadcast_to(self.pair[k], (len(x), LABELS, LABELS)) for k, x in (("chain", graph.chain), ("skip", skip))]
             )
-            source, target = np.array([*links, *[(b, a) for a, b in links]]).T
-            pair = np.concatenate([pair, pair])
-            back = np.roll(np.arange(len(source)), len(links))
-            sent = np.zeros((len(source), LABELS))
-            for _ in range(ROUNDS):
+            one = np.array(links)
+            doc = np.array([graph.bounds[i][0] for _, i in links])
+            np.add.at(unary, *self.messages(unary, one, pair, doc))
+        p = np.exp(unary[:n] - unary[:n].max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True)
+
+    def hub_unary(self, kinds: Counter[int]) -> np.ndarray:
+        """A hub has the kinds that base spans give its tokens, if they give any."""
+        if not kinds:
+            return self.hub
+        out = np.full(LABELS, GIVEN)
+        for k, n in kinds.items():
+            out[k] = np.log(n / kinds.total())
+        return out
+
+    @staticmethod
+    def messages(
+        unary: np.ndarray, links: np.ndarray, pair: np.ndarray, doc: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Targets and messages of both directions of every link; a document is done when its messages rest."""
+        targets, resting = [], []
+        sent = np.zeros((2, len(links), LABELS))
+        turn = 0
+        while len(links):
+            source, target = np.concatenate([links, links[:, ::-1]]).T
+            both, back = np.concatenate([pair, pair]), np.roll(np.arange(len(source)), len(links))
+            steady = STEADY + 4 * np.bincount(doc)[np.concatenate([doc, doc])][:, None]
+            flat, moved = sent.reshape(-1, LABELS), np.zeros(doc.max() + 1)
+            while True:
                 belief = unary.copy()
-                np.add.at(belief, target, sent)
-                rest = (belief[source] - sent[back])[:, :, None] + pair
+                np.add.at(belief, target, flat)
+                rest = (belief[source] - flat[back])[:, :, None] + both
                 top = rest.max(axis=1)
                 new = top + np.log(np.exp(rest - top[:, None]).sum(axis=1))
                 new -= new.max(axis=1, keepdims=True)
-                sent = DAMPING * sent + (1 - DAMPING) * new
-            np.add.at(unary, target, sent)
-        p = np.exp(unary - unary.max(axis=1, keepdims=True))
-        return p / p.sum(axis=1, keepdims=True)
+                change = (1 - DAMPING) * np.minimum(1, steady / (turn + 1)) * (new - flat)
+                flat = flat + change
+                turn += 1
+                moved[:] = 0
+                np.maximum.at(moved, np.concatenate([doc, doc]), np.abs(change).max(axis=1))
+                done = moved[doc] <= RESTING
+                if done.any():
+                    break
+            sent = flat.reshape(2, -1, LABELS)
+            targets += [links[done, 1], links[done, 0]]
+            resting += [sent[0, done], sent[1, done]]
+            links, pair, doc, sent = links[~done], pair[~done], doc[~done], sent[:, ~done]
+        return np.concatenate(targets), np.concatenate(resting)
 
 
 def trained(docs: DataFrame, shapes: int = 4096) -> tuple[Weights, DataFrame | None]:
@@ -211,8 +268,8 @@ def trained(docs: DataFrame, shapes: int = 4096) -> tuple[Weights, DataFrame | N
         graph = Graph([t.decode() for t in raw])
         found: Counter[tuple[str, str, int, int]] = Counter()
         found.update(("shape", s, k, 0) for s, k in zip(graph.shapes, graph.label, strict=True))
-        for name, links in (("chain", graph.chain), ("skip", graph.skip)):
-            found.update((name, "", graph.label[a], graph.label[b]) for a, b in links)
+        found.update(("chain", "", graph.label[a], graph.label[b]) for a, b in graph.chain)
+        found.update(("skip", "", a, b) for a, b in graph.skips())
         keys = list(found)
         return {
             "factor": pa.array([k[0] for k in keys], pa.string()),

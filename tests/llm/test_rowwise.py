@@ -170,6 +170,30 @@ def test_repeated_token_gets_the_label_of_its_twin(spark):
     assert got[999].spans == "ip:45:56,card:4:20,card:28:44"
 
 
+def test_all_repeats_get_the_label_of_the_full_number(spark):
+    # Numbers of this shape are as often no phone; only the full number says what the repeats are.
+    many = [(i, f"call +1 (605) 555-{1000 + i} or +1 (605) 555-{1000 + i} now") for i in range(1500)]
+    many += [(i, f"ticket 317-{i} is not 317-{i} again") for i in range(2000, 3500)]
+    long = "call +1 (605) 555-9999 " + "or 555-9999 " * 50
+    got = by_id(personal_data.personal_data(frame(spark, [*many, (9999, long)])))
+    starts = [m.start() for m in re.finditer("555-9999", long)][1:]
+    assert len(starts) == 50 and got[9999].n_phone == 1
+    assert got[9999].spans == ",".join(["phone:5:22", *[f"phone:{i}:{i + 8}" for i in starts]])
+
+
+def test_messages_travel_until_they_rest():
+    # 60 tokens in a row behind a card; shapes say nothing, neighbours are nearly always alike.
+    text = "4111111111111111 " + "x1 " * 60
+    pairs = [(k, k, 2000) for k in range(5)] + [(2, 4, 1)]
+    graph = personal_data.Graph([text, "y2 y2 y2"])
+    shapes = {x: [0, 0, 0, 0, 0] for x in graph.shapes}
+    weights = personal_data.Weights(personal_data.np.ones(5), shapes, {"chain": pairs})
+    p = weights.posterior(graph, {})
+    assert graph.label[0] == 2 and p[40].argmax() == 2
+    alone = personal_data.Graph([text])
+    assert abs(weights.posterior(alone, {}) - p[: len(alone.label)]).max() < 1e-12
+
+
 def test_personal_data_of_rare_shapes(spark):
     marks = [c * k for c in "-_=/~^" for k in range(1, 9)]
     texts = [f"code x{m}{i} and y@{m} or 4111111111111111 then 4111111111111111 now" for i, m in enumerate(marks)]
