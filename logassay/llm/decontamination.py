@@ -7,8 +7,11 @@ term's offset in the window, are intersected by grouping. Lists much longer
 than the rarest one are not read; what they would have decided is decided with
 the words themselves, as every candidate is compared word by word in its text.
 
-A proximity match has all looked-up terms of a window (two at least) within
-``slop`` words of their places.
+A proximity match has all distinct words of a window (two at least; of ten and
+more, all but one) within as many words as the window has and ``slop`` more, in
+any order. Such a text holds two of any three distinct words of the window, or all
+if it has fewer, so the lists of the three rarest find every such text; the words
+of the text decide. How often a word occurs changes no result.
 
 Vocabulary, probes and windows are broadcast while they have at most
 ``BROADCAST_ROWS`` rows, and joined by a shuffle beyond that.
@@ -76,9 +79,9 @@ def postings(docs: DataFrame, vocabulary: DataFrame, rows: int) -> DataFrame:
     return tokens.join(_sized(vocabulary, rows), "word").select("term", "doc_id", "_k", "at")
 
 
-def _met(found: Column, need: Column, slop: int) -> Column:
+def _met(found: Column, need: Column, reach: int) -> Column:
     """From a window's postings in one text, moved back to the window's start and sorted: the
-    starts where all lists meet, and whether all come within ``slop`` of each other anywhere."""
+    starts where all lists meet, and whether two come within ``reach`` of each other anywhere."""
     never = F.lit(-(1 << 30))
 
     def step(state: Column, posting: Column) -> Column:
@@ -86,10 +89,11 @@ def _met(found: Column, need: Column, slop: int) -> Column:
         last = [F.when(posting["bit"] == 1 << i, start).otherwise(state[f"l{i}"]) for i in range(PROBES)]
         oldest = F.least(*[F.when(need > i, x).otherwise(start) for i, x in enumerate(last)])
         here = (oldest == start) & (start >= 0) & (F.coalesce(F.try_element_at(state["starts"], F.lit(-1)), never) != start)
+        other = F.greatest(*[F.when(posting["bit"] != 1 << i, state[f"l{i}"]).otherwise(never) for i in range(PROBES)])
         return F.struct(
             *[x.alias(f"l{i}") for i, x in enumerate(last)],
             F.when(here, F.array_append(state["starts"], start)).otherwise(state["starts"]).alias("starts"),
-            (state["near"] | ((need > 1) & (start - oldest <= slop))).alias("near"),
+            (state["near"] | (start - other <= reach)).alias("near"),
         )
 
     empty = F.struct(
@@ -99,8 +103,26 @@ def _met(found: Column, need: Column, slop: int) -> Column:
     return F.aggregate(found, empty, step)
 
 
-def candidates(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int = SLOP) -> DataFrame:
-    """Per document row: possible exact places and the items with a proximity match."""
+def _least_words(window: Column) -> Column:
+    """So many of a window's distinct words make a proximity match."""
+    m = F.size(window)
+    return F.greatest(m - F.when(m >= 10, 1).otherwise(0), F.lit(2))
+
+
+def _near(words: Column, window: Column, span: Column) -> Column:
+    """Whether enough distinct words of the window lie within ``span`` words of the text."""
+    starts = F.filter(
+        F.transform(words, lambda w, i: F.when(F.array_contains(window, w), i + 1)), lambda i: i.isNotNull()
+    )
+    enough = lambda held: F.size(F.array_intersect(held, window)) >= _least_words(window)
+    # The whole text first, which most texts fail at once.
+    return F.when(enough(words), F.exists(starts, lambda i: enough(F.slice(words, i, span)))).otherwise(False)
+
+
+def candidates(
+    docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int = SLOP, near: bool = True
+) -> DataFrame:
+    """Per document row: possible exact places and, if ``near``, windows with a possible proximity match."""
     rows = texts_of(docs, "doc_id", "text").withColumn("_k", row_key())
     windows = stored(
         item_windows(benchmark, size).withColumn("wid", F.monotonically_increasing_id()), "windows"
@@ -112,15 +134,19 @@ def candidates(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: in
     index = stored(postings(rows, vocabulary, vocabulary.count()), "postings")
     lists = index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     order = Window.partitionBy("wid").orderBy("df", "off")
+    first = terms.groupBy("wid", "word").agg(F.min("off").alias("off"))
     ranked = (
-        terms.join(vocabulary, "word")
+        first.join(vocabulary, "word")
         .join(lists, "term", "left")
         .withColumn("df", F.coalesce("df", F.lit(0)))
         .withColumn("rank", F.row_number().over(order))
         .withColumn("least", F.first("df").over(order))
-        .where((F.col("rank") <= PROBES) & (F.col("least") > 0))
-        .where((F.col("rank") == 1) | (F.col("df") <= F.greatest(F.col("least") * 4, F.lit(1000))))
+        .where(F.col("rank") <= PROBES)
     )
+    if not near:
+        # Exact places hold every word, so the longer lists need not be read.
+        short = (F.col("rank") == 1) | (F.col("df") <= F.greatest(F.col("least") * 4, F.lit(1000)))
+        ranked = ranked.where((F.col("least") > 0) & short)
     probes = stored(
         ranked.withColumn("need", F.count(F.lit(1)).over(Window.partitionBy("wid"))).select(
             "wid", "term", "off", "need", F.expr("shiftleft(1, rank - 1)").alias("bit")
@@ -135,12 +161,12 @@ def candidates(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: in
             F.first("need").alias("need"),
             F.collect_list(F.struct((F.col("at") - F.col("off")).alias("start"), "bit")).alias("found"),
         )
-        .where(F.bit_count("bits") == F.col("need"))
-        .select("wid", "doc_id", "_k", _met(F.array_sort("found"), F.col("need"), slop).alias("met"))
+        .where(F.bit_count("bits") >= (F.least("need", F.lit(2)) if near else F.col("need")))
+        .select("wid", "doc_id", "_k", _met(F.array_sort("found"), F.col("need"), 2 * size + slop).alias("met"))
     )
     both = listed.select(
         "wid", "doc_id", "_k",
-        F.explode(F.when(F.col("met.near"), F.array_append("met.starts", F.lit(None))).otherwise(F.col("met.starts"))).alias("start"),
+        F.explode(F.when(F.col("met.near") & F.lit(near), F.array_append("met.starts", F.lit(None))).otherwise(F.col("met.starts"))).alias("start"),
     )
     return (
         both.join(_sized(windows, windows.count()), "wid")
@@ -149,16 +175,16 @@ def candidates(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: in
             F.collect_list(
                 F.when(F.col("start").isNotNull(), F.struct("start", "n", "phrase", "items"))
             ).alias("places"),
-            F.array_distinct(
-                F.flatten(F.collect_set(F.when(F.col("start").isNull(), F.col("items"))))
-            ).alias("near"),
+            F.collect_list(F.when(F.col("start").isNull(), F.struct("n", "phrase", "items"))).alias("near"),
         )
     )
 
 
-def flagged(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int = SLOP) -> DataFrame:
+def flagged(
+    docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int = SLOP, near: bool = True
+) -> DataFrame:
     """``doc`` (the whole row) and ``hit``: n_words, n_hit, items (sorted strings) and near_items."""
-    found = candidates(docs, benchmark, size, slop).select(
+    found = candidates(docs, benchmark, size, slop, near).select(
         F.col("doc_id").alias("_id"), F.col("_k").alias("_key"),
         F.col("places").alias("_places"), F.col("near").alias("_near"),
     )
@@ -166,7 +192,7 @@ def flagged(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int =
     joined = packed(docs).join(
         found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left"
     )
-    worded = joined.withColumn("_words", F.when(F.size("_places") > 0, _words(text)))
+    worded = joined.withColumn("_words", F.when((F.size("_places") > 0) | (F.size("_near") > 0), _words(text)))
     true = F.filter(
         "_places",
         lambda p: F.array_join(F.slice("_words", p["start"] + 1, p["n"]), " ") == p["phrase"],
@@ -180,20 +206,25 @@ def flagged(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int =
             (s["total"] + F.greatest(p["start"] + p["n"] - F.greatest(s["reach"], p["start"]), F.lit(0))).alias("total"),
         ),
     )["total"]
+    close = F.filter(
+        "_near",
+        lambda p: _near(F.col("_words"), F.array_distinct(F.split(p["phrase"], " ")), p["n"] + slop),
+    )
+    close_items = F.array_sort(F.array_distinct(F.flatten(F.transform(close, lambda p: p["items"]))))
     none = F.array().cast("array<string>")
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("_true", lambda p: p["items"]))))
     hit = F.struct(
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(items, none).alias("items"),
-        F.coalesce("_near", none).alias("near_items"),
+        F.coalesce(close_items, none).alias("near_items"),
     )
     return hits.select("doc", hit.alias("hit"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """One row per document row, with counts, a digest of the items, and proximity matches."""
-    return flagged(docs.select("doc_id", "text"), benchmark, size).select(
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, near: bool = True) -> DataFrame:
+    """One row per document row, with counts, a digest of the items, and proximity matches if ``near``."""
+    return flagged(docs.select("doc_id", "text"), benchmark, size, near=near).select(
         "doc.doc_id",
         "hit.n_words",
         "hit.n_hit",
@@ -206,7 +237,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Da
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """The rows of ``docs``, all columns, without any benchmark window."""
-    return flagged(docs, benchmark, size).where("hit.n_hit = 0").select(unpacked(docs.columns))
+    return flagged(docs, benchmark, size, near=False).where("hit.n_hit = 0").select(unpacked(docs.columns))
 
 
 _SQL_WORDS = (

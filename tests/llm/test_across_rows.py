@@ -91,6 +91,28 @@ def test_proximity_matches(spark):
     assert [got[i].n_near_items for i in (1, 2, 3)] == [1, 1, 0]
 
 
+def test_proximity_does_not_depend_on_how_often_words_occur(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    listed = [
+        (1, "so alpha beta gamma delta epsilon new zeta eta theta iota kappa"),
+        (2, "beta gamma delta epsilon zeta eta theta iota kappa"),
+        (3, "kappa iota theta eta zeta epsilon delta gamma beta alpha"),
+        (4, "beta gamma delta epsilon zeta eta theta iota"),
+        (5, "alpha beta gamma delta epsilon " + "far " * 20 + "zeta eta theta iota kappa"),
+    ]
+    want = [1, 1, 1, 0, 0]
+    # Without and with many postings: 300 of one word, over 1200 of all others, each alone in its text.
+    common = [(10 + i, " ".join([w] * (150 if w == "kappa" else 1300))) for i, w in enumerate(item.split()[1:])]
+    benchmark = spark.createDataFrame([(9, item)], "item_id long, text string")
+    for more in ([], common, [*common, (8, "alpha " * 3000)]):
+        got = {r.doc_id: r for r in decontamination.contamination(frame(spark, [*listed, *more]), benchmark).collect()}
+        assert [got[i].n_near_items for i in range(1, 6)] == want
+        assert not any(r.contaminated or r.doc_id > 5 and r.n_near_items for r in got.values())
+    without = [r for r in listed if "alpha" not in r[1]]
+    got = {r.doc_id: r for r in decontamination.contamination(frame(spark, without), benchmark).collect()}
+    assert [got[i].n_near_items for i in (2, 4)] == [1, 0]
+
+
 def test_line_dedup(docs, rows):
     got = {r.doc_id: r for r in line_dedup.cut_repeated_lines(docs).collect()}
     for (i, t), (n, gone, left) in zip(rows, brute.cut_lines(rows), strict=True):
