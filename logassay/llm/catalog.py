@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logassay.llm import decontamination, line_dedup
+from logassay.llm import decontamination, hard_negatives, line_dedup
 from logassay.llm.embedding_dedup import near_vectors
 from logassay.llm.license_scan import license_scan
 from logassay.llm.ngram_join import similar_documents
@@ -100,3 +100,11 @@ def op9_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op13_hard_negatives"] = hard_negatives.SQL
