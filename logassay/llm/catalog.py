@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logassay.llm import decontamination, hard_negatives, line_dedup
+from logassay.llm import decontamination, hard_negatives, importance_resampling, line_dedup
 from logassay.llm.embedding_dedup import near_vectors
 from logassay.llm.license_scan import license_scan
 from logassay.llm.ngram_join import similar_documents
@@ -108,3 +108,13 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op13_hard_negatives"] = hard_negatives.SQL
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resampled(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+SQL["op12_importance_resampling"] = importance_resampling.SQL
