@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logassay.llm import decontamination, hard_negatives, importance_resampling, line_dedup
 from logassay.llm.embedding_dedup import near_vectors
+from logassay.llm.interpolated_lm import lm_scores
 from logassay.llm.license_scan import license_scan
 from logassay.llm.ngram_join import similar_documents
 from logassay.llm.personal_data import personal_data
@@ -118,3 +119,8 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op12_importance_resampling"] = importance_resampling.SQL
+
+
+@query
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
