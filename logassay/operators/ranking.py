@@ -46,7 +46,7 @@ def ranked_relevant(later: DataFrame, ranked: DataFrame, roles: Roles, top: int)
         .select(*roles.pair)
         .distinct()
     )
-    return pairs.join(F.broadcast(ranked.select(roles.item, "rank").limit(top)), roles.item, "left")
+    return pairs.join(F.broadcast(ranked.where(F.col("rank") <= top).select(roles.item, "rank")), roles.item, "left")
 
 
 def ranking_metrics(relevant: DataFrame, user: str, k: int) -> DataFrame:

@@ -12,7 +12,7 @@ from logassay.operators import (
     calendar, contract, coverage, dedupe, duplicates, profile, quality, ranking, sequences, verdict,
 )
 from logassay.operators.calendar import DayRange
-from logassay.plans import inputs, suites
+from logassay.plans import inputs, recommender, suites
 from logassay.plans.inputs import (
     GRID_ROLES, PARTIAL_DOUBLE, PEAKS, PURCHASE_ROLES, ROLES, WHOLE_DOUBLE, table,
 )
@@ -20,7 +20,7 @@ from logassay.sources import scratch, storage, tables
 from logassay.streaming.ingest import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Query] = dict(recommender.QUERIES)
 
 # Fixed values of the registered checks.
 SPLITS = (

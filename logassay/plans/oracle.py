@@ -14,6 +14,7 @@ from logassay.plans.catalog import (
     CUT_BYTES, PUBLISHED, RATES, SEGMENTS, SEQUENCE_LENGTH, SPLITS, TOP, TRAINED_BEFORE,
 )
 from logassay.plans.inputs import PARTIAL_DOUBLE, PEAKS, WHOLE_DOUBLE
+from logassay.plans.recommender_sql import recommender_sql
 
 A, B = PARTIAL_DOUBLE, WHOLE_DOUBLE
 COLUMNS = "user_id, item_id, played_ms, length_ms, wall_time, day, epoch_s, ratio"
@@ -805,4 +806,5 @@ FROM (SELECT user_id, item_id, count(*) AS n FROM {source} GROUP BY user_id, ite
     q["verdict_summary"] = f"""
 SELECT count(*) AS checks, count(*) FILTER (WHERE verdict = 'PASS') AS passed,
        count(*) FILTER (WHERE verdict = 'FAIL') AS failed FROM ({q["verdicts"]})"""
+    q.update(recommender_sql(LOG, PURCHASES))
     return q
