@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logassay.functions.numeric import filtered_sum, percent, total
+from logassay.operators.order import parallelism, positions
 from logassay.roles import Roles
 
 
@@ -44,6 +45,29 @@ def matrix_coverage(df: DataFrame, roles: Roles) -> DataFrame:
     )
 
 
+def gap_cells(df: DataFrame, roles: Roles, block: int = 4096) -> DataFrame:
+    """Every (user, item) that never occurs, of the users and items that do.
+
+    Items are numbered and cut in blocks of ``block``. A user's items of a block
+    are taken out of the block's whole list; what is left comes out, so the product
+    of users and items is never formed and the work follows users times blocks and
+    the gaps themselves. A block's list is copied once per shuffle partition, that
+    users of one block are spread over many tasks.
+    """
+    spread = parallelism(df)
+    keyed = F.col(roles.user).isNotNull() & F.col(roles.item).isNotNull()
+    seen = df.where(keyed).select(F.col(roles.user).alias("u"), F.col(roles.item).alias("i")).distinct()
+    numbered = positions(seen.select("i").distinct(), [F.col("i")], "_at")
+    numbered = numbered.select("i", F.expr(f"(_at - 1) div {block}").alias("_block"))
+    lists = numbered.groupBy("_block").agg(F.collect_list("i").alias("_all"))
+    lists = lists.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    own = seen.join(numbered, "i").groupBy("u", "_block").agg(F.collect_list("i").alias("_own"))
+    users = seen.select("u").distinct().withColumn("_salt", F.pmod(F.xxhash64("u"), F.lit(spread)).cast("int"))
+    cells = users.join(lists, "_salt").join(own, ["u", "_block"], "left")
+    missing = F.when(F.col("_own").isNull(), F.col("_all")).otherwise(F.array_except("_all", "_own"))
+    return cells.select(F.col("u").alias(roles.user), F.explode(missing).alias(roles.item))
+
+
 def find_column(df: DataFrame, fragment: str) -> str | None:
     """First column whose name contains the fragment, ignoring case."""
     return next((c for c in df.columns if fragment.lower() in c.lower()), None)

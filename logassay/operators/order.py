@@ -48,11 +48,7 @@ def positions(df: DataFrame, order: list[Column], name: str, salt: Column | None
     placed = _stretches(df, order if salt is None else [*order, salt], "positions")
     offsets = _before(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")), ["_rows"])
     place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + 1
-    return (
-        placed.join(offsets, "_part")
-        .withColumn(name, F.col("_rows_before") + place)
-        .drop("_part", "_at", "_rows_before")
-    )
+    return placed.join(offsets, "_part").select(*df.columns, (F.col("_rows_before") + place).alias(name))
 
 
 def running_sums(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:

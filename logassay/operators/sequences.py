@@ -17,8 +17,8 @@ from logassay.roles import Roles
 GROUP_LIMIT = 1000
 
 
-def _with_run(df: DataFrame, roles: Roles) -> DataFrame:
-    """The rows with the number of the run of days theirs belongs to.
+def with_run(df: DataFrame, roles: Roles, *more: str) -> DataFrame:
+    """The rows with the number of the run of days theirs belongs to, and the columns ``more``.
 
     The broadcast table has one row per valid calendar day, at most 3.3 million
     whatever the log holds. Rows whose day is null or impossible get no run.
@@ -26,7 +26,7 @@ def _with_run(df: DataFrame, roles: Roles) -> DataFrame:
     runs = day_segments(df, roles.day).select(
         clock.day_key(F.col("day_date")).alias(roles.day), "segment"
     )
-    return df.select(roles.user, roles.item, roles.wall_time, roles.day).join(
+    return df.select(roles.user, roles.item, roles.wall_time, roles.day, *more).join(
         F.broadcast(runs), roles.day, "left"
     )
 
@@ -40,7 +40,7 @@ def segment_sequences(df: DataFrame, roles: Roles) -> DataFrame:
     """
     order = (roles.user, "segment", roles.wall_time, roles.item)
     return (
-        _with_run(df, roles)
+        with_run(df, roles)
         .select(*order)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -49,7 +49,7 @@ def segment_sequences(df: DataFrame, roles: Roles) -> DataFrame:
 
 def sequence_losses(df: DataFrame, roles: Roles) -> DataFrame:
     """One row: events, events in a run, and events without a null or an impossible day."""
-    run = _with_run(df, roles)
+    run = with_run(df, roles)
     return run.agg(
         F.count(F.lit(1)).alias("events"),
         F.count("segment").alias("in_a_run"),
@@ -66,7 +66,7 @@ def newest_sequences(df: DataFrame, roles: Roles, newest: int = 50) -> DataFrame
     """
     if not 1 <= newest <= GROUP_LIMIT:
         raise ValueError(f"newest must be 1 to {GROUP_LIMIT}, not {newest}; use segment_sequences")
-    rows = _with_run(df, roles).where(F.col("segment").isNotNull())
+    rows = with_run(df, roles).where(F.col("segment").isNotNull())
     latest = Window.partitionBy(roles.user, "segment").orderBy(
         F.col(roles.wall_time).desc_nulls_last(), F.col(roles.item).desc_nulls_last()
     )

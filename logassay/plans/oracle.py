@@ -806,5 +806,5 @@ FROM (SELECT user_id, item_id, count(*) AS n FROM {source} GROUP BY user_id, ite
     q["verdict_summary"] = f"""
 SELECT count(*) AS checks, count(*) FILTER (WHERE verdict = 'PASS') AS passed,
        count(*) FILTER (WHERE verdict = 'FAIL') AS failed FROM ({q["verdicts"]})"""
-    q.update(recommender_sql(LOG, PURCHASES))
+    q.update(recommender_sql(LOG, PURCHASES, SEGMENTED, TO_DATE))
     return q

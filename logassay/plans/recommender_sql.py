@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from logassay.operators.counterfactual import poisson_steps
 from logassay.plans.recommender import (
-    ALPHA, CURVE, EVERY, LIKED, NEAREST, NEIGHBOURS, PROBES, ROUNDS, SCALE, TRAINED_BEFORE,
+    ALPHA, CLIP, CURVE, EVERY, HORIZON_DAYS, LIKED, NEAREST, NEIGHBOURS, PART, POPULAR, PROBES, QUOTAS,
+    REPLICATES, ROUNDS, SCALE, SEED, TRAINED_BEFORE, WINDOW_DAYS, WINDOW_START, WINDOW_STEP,
 )
 
 
@@ -98,8 +100,160 @@ met AS (
   FROM asked a JOIN held h ON a.list = h.list AND a.id <> h.id)"""
 
 
-def recommender_sql(log: str, purchases: str) -> dict[str, str]:
-    """``log`` and ``purchases`` are the CTEs that make those views."""
+def _number(*parts: str) -> str:
+    return f"CAST('0x' || md5(concat_ws(':', {', '.join(parts)}))[1:15] AS BIGINT)"
+
+
+def negatives(source: str) -> str:
+    quota = f"[{', '.join(map(str, QUOTAS))}][stratum + 1]"
+    return f"""
+touched AS (SELECT DISTINCT user_id AS u, item_id AS i FROM {source} WHERE user_id IS NOT NULL AND item_id IS NOT NULL),
+popularity AS (
+  SELECT i, users, CAST(coalesce(sum(users) OVER (ORDER BY users DESC, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before,
+         CAST(sum(users) OVER () AS BIGINT) AS total
+  FROM (SELECT i, count(*) AS users FROM touched GROUP BY i)),
+strata AS (
+  SELECT i, users, CAST(before * {len(QUOTAS)} // total AS INTEGER) AS stratum,
+         before - min(before) OVER (PARTITION BY before * {len(QUOTAS)} // total) AS start
+  FROM popularity),
+sizes AS (SELECT stratum, CAST(sum(users) AS BIGINT) AS weight, {quota} AS quota FROM strata GROUP BY stratum),
+tries AS (
+  SELECT u, stratum, t, {_number(str(SEED), "u", "stratum", "t")} % weight AS place
+  FROM (SELECT DISTINCT u FROM touched), sizes, LATERAL (SELECT unnest(range(1, quota * 8 + 1)) AS t)),
+hits AS (
+  SELECT t.u, t.stratum, s.i, min(t.t) AS t
+  FROM tries t JOIN strata s ON s.stratum = t.stratum AND t.place >= s.start AND t.place < s.start + s.users
+  ANTI JOIN touched o ON o.u = t.u AND o.i = s.i GROUP BY ALL),
+open_items AS (
+  SELECT d.u, s.stratum, s.i, h.t, {_number(str(SEED), "d.u", "s.i")} AS h
+  FROM (SELECT DISTINCT u FROM touched) d, strata s LEFT JOIN hits h ON h.u = d.u AND h.i = s.i
+  WHERE NOT EXISTS (SELECT 1 FROM touched o WHERE o.u = d.u AND o.i = s.i))
+SELECT u AS user_id, stratum, i AS item_id,
+       CAST(row_number() OVER (PARTITION BY u, stratum ORDER BY t NULLS LAST, h, i) AS INTEGER) AS rank, t IS NOT NULL AS drawn
+FROM open_items QUALIFY rank <= {quota}"""
+
+
+def sliding(to_date: str) -> str:
+    return f"""
+dated AS (SELECT user_id, played_ms, day, {to_date.format("day")} AS d FROM log WHERE user_id IS NOT NULL),
+windows AS (
+  SELECT CAST({to_date.format(WINDOW_START)} + CAST(k * {WINDOW_STEP} AS INTEGER) AS DATE) AS a,
+         CAST({to_date.format(WINDOW_START)} + CAST(k * {WINDOW_STEP} + {WINDOW_DAYS} AS INTEGER) AS DATE) AS b
+  FROM range(0, 1000) t(k)),
+whole AS (SELECT a, b, b + {HORIZON_DAYS} AS c FROM windows WHERE b + {HORIZON_DAYS} - 1 <= (SELECT max(d) FROM dated))
+SELECT user_id, CAST(strftime(a, '%Y%m%d') AS BIGINT) AS first_day,
+       count(*) FILTER (d < b) AS events, count(DISTINCT d) FILTER (d < b) AS active_days,
+       CAST(sum(played_ms) FILTER (d < b) AS BIGINT) AS played, max(day) FILTER (d < b) AS last_day,
+       count(*) FILTER (d >= b) AS target_events,
+       CAST(coalesce(sum(played_ms) FILTER (d >= b), 0) AS BIGINT) AS target_played
+FROM whole JOIN dated ON d >= a AND d < c GROUP BY user_id, a HAVING count(*) FILTER (d < b) > 0"""
+
+
+def texts(to_date: str) -> str:
+    return f"""
+numbered_events AS (
+  SELECT l.user_id, n.segment, wall_time, coalesce(CAST(item_id AS VARCHAR), '?') || ':'
+           || coalesce(CAST(CAST(floor(ratio * 100) AS BIGINT) AS VARCHAR), '?') AS told,
+         row_number() OVER (PARTITION BY l.user_id, n.segment
+                            ORDER BY wall_time NULLS FIRST, item_id NULLS FIRST, ratio NULLS FIRST) - 1 AS place
+  FROM log l JOIN numbered n ON {to_date.format("l.day")} = n.d WHERE l.user_id IS NOT NULL)
+SELECT user_id, segment, place // {PART} AS part, count(*) AS events, min(wall_time) AS first_time,
+       max(wall_time) AS last_time, string_agg(told, ' ' ORDER BY place) AS text
+FROM numbered_events GROUP BY user_id, segment, place // {PART}"""
+
+
+def gaps(source: str, item: str) -> str:
+    return f"""SELECT user_id, {item} FROM (SELECT DISTINCT user_id FROM {source} WHERE user_id IS NOT NULL AND {item} IS NOT NULL),
+  (SELECT DISTINCT {item} FROM {source} WHERE user_id IS NOT NULL AND {item} IS NOT NULL)
+EXCEPT SELECT user_id, {item} FROM {source}"""
+
+
+STUDY = f"""
+listed AS (
+  SELECT item_id FROM (SELECT item_id, count(DISTINCT user_id) AS users FROM log WHERE day < {TRAINED_BEFORE} GROUP BY item_id)
+  ORDER BY users DESC, item_id LIMIT {POPULAR}),
+past AS (SELECT user_id, count(*) AS n FROM log WHERE day < {TRAINED_BEFORE} GROUP BY user_id),
+study AS (
+  SELECT coalesce(n, 0) / CAST(100 AS DOUBLE) AS a, hour(wall_time) / CAST(24 AS DOUBLE) AS b,
+         CASE WHEN item_id IN (SELECT item_id FROM listed) THEN 1 ELSE 0 END AS t,
+         CASE WHEN ratio > {LIKED} THEN 1 ELSE 0 END AS y,
+         concat_ws(':', user_id, item_id, epoch_us(wall_time)) AS key
+  FROM log LEFT JOIN past USING (user_id) WHERE day >= {TRAINED_BEFORE} AND ratio IS NOT NULL)"""
+
+
+def _solved(source: str, out: tuple[str, str, str], add: tuple[str, str, str] = ("0", "0", "0"), join: str = "") -> str:
+    """The solution of a symmetric system of three, from columns h00..h22 and g0..g2, by determinants."""
+    h = lambda i, j: f"h{min(i, j)}{max(i, j)}"
+
+    def determinant(column: int | None) -> str:
+        m = [[f"g{i}" if j == column else h(i, j) for j in range(3)] for i in range(3)]
+        return (
+            f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]})"
+            f" - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]})"
+            f" + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))"
+        )
+
+    cells = [f"{a} + {determinant(i)} / {determinant(None)} AS {o}" for i, (a, o) in enumerate(zip(add, out, strict=True))]
+    return f"SELECT {', '.join(cells)} FROM {source}{join}"
+
+
+def _squares(weight: str) -> str:
+    xs = ("1", "a", "b")
+    return ", ".join(f"sum({weight} * {xs[i]} * {xs[j]}) AS h{i}{j}" for i in range(3) for j in range(i, 3))
+
+
+def _newton(n: int) -> str:
+    return f"""
+sums{n} AS (
+  SELECT sum(t - p) AS g0, sum((t - p) * a) AS g1, sum((t - p) * b) AS g2, {_squares("p * (1 - p)")}
+  FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * a + b2 * b))) AS p FROM study, beta{n})),
+beta{n + 1} AS ({_solved(f"sums{n}, beta{n}", ("b0", "b1", "b2"), ("b0", "b1", "b2"))})"""
+
+
+STEPS = 10
+PROPENSITY = f"""{STUDY},
+beta0 AS (SELECT CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2),
+{",".join(_newton(n) for n in range(STEPS))},
+chances AS (SELECT *, 1 / (1 + exp(-(b0 + b1 * a + b2 * b))) AS p FROM study, beta{STEPS}),
+cut AS (SELECT *, least(greatest(p, {CLIP}), 1 - CAST({CLIP} AS DOUBLE)) AS e FROM chances)"""
+
+
+def _policy(name: str, arm: int, weight: str) -> str:
+    return f"""
+SELECT '{name}' AS policy, count(*) AS rows, count(*) FILTER (t = {arm}) AS logged_rows,
+       count(*) FILTER (p <> e) AS clipped_rows, round(avg(CASE WHEN t = {arm} THEN CAST(y AS DOUBLE) END), 6) AS observed,
+       round(sum({weight} * y) / count(*), 6) AS ips, round(sum({weight} * y) / sum({weight}), 6) AS snips,
+       round(pow(sum({weight}), 2) / sum(pow({weight}, 2)), 3) AS effective_rows
+FROM cut"""
+
+
+def _fit(arm: int) -> str:
+    names = (f"m{arm}0", f"m{arm}1", f"m{arm}2")
+    return f"""
+fit{arm} AS ({_solved(f"(SELECT sum(y) AS g0, sum(y * a) AS g1, sum(y * b) AS g2, {_squares('1')} FROM study WHERE t = {arm})", names)})"""
+
+
+def _robust() -> str:
+    steps = ", ".join(map(str, poisson_steps()))
+    return f"""WITH {{log}},{PROPENSITY},{_fit(1)},{_fit(0)},
+models AS (SELECT *, m10 + m11 * a + m12 * b AS one, m00 + m01 * a + m02 * b AS zero FROM cut, fit1, fit0),
+shares AS (
+  SELECT key, one - zero + t * (y - one) / e - (1 - t) * (y - zero) / (1 - e) AS v FROM models),
+drawn AS (
+  SELECT r, v, list_sum(list_transform([{steps}], lambda s: CASE WHEN d >= s THEN 1 ELSE 0 END)) AS w
+  FROM (SELECT r, v, CAST('0x' || md5(concat_ws(':', '{SEED}', key, r // 8))[4 * (r % 8) + 1 : 4 * (r % 8) + 4] AS BIGINT) AS d
+        FROM shares, range(0, {REPLICATES}) t(r))),
+means AS (SELECT sum(w * v) / sum(w) AS m FROM drawn GROUP BY r HAVING sum(w) > 0),
+placed AS (SELECT m, row_number() OVER (ORDER BY m) AS spot, count(*) OVER () AS n FROM means)
+SELECT (SELECT count(*) FROM shares) AS rows, (SELECT round(avg(v), 6) FROM shares) AS effect,
+       round(stddev_samp(m), 6) AS standard_error,
+       round(max(CASE WHEN spot = floor((n - 1) * 0.025 + 0.5) + 1 THEN m END), 6) AS low,
+       round(max(CASE WHEN spot = floor((n - 1) * 0.975 + 0.5) + 1 THEN m END), 6) AS high, count(*) AS replicates
+FROM placed"""
+
+
+def recommender_sql(log: str, purchases: str, segmented: str, to_date: str) -> dict[str, str]:
+    """The arguments are the CTEs that make the views, and a day key's conversion."""
 
     def whole_area(column: str) -> str:
         return f"""WITH {log},{LATER},{area(column)}
@@ -108,6 +262,17 @@ SELECT (SELECT count(*) FROM shown_later) AS rows, positives, negatives,
 
     best = f"row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= {NEAREST}"
     return {
+        "negative_samples": f"WITH {log},{negatives('log')}",
+        "negative_samples_purchases": f"WITH {purchases},{negatives('purchases')}",
+        "sliding_samples": f"WITH {log},{sliding(to_date)}",
+        "sequence_texts": f"WITH {log},{segmented},{texts(to_date)}",
+        "gap_cells": f"WITH {log} {gaps('log', 'item_id')}",
+        "propensity_model": f"""WITH {log},{PROPENSITY}
+SELECT CAST(position AS INTEGER) AS position, feature, round(coefficient, 6) AS coefficient FROM (
+  SELECT unnest([0, 1, 2]) AS position, unnest(['intercept', 'past', 'hour']) AS feature, unnest([b0, b1, b2]) AS coefficient
+  FROM beta{STEPS})""",
+        "policy_values": f"WITH {log},{PROPENSITY}{_policy('treat_all', 1, 't / e')} UNION ALL {_policy('treat_none', 0, '(1 - t) / (1 - e)')}",
+        "doubly_robust": _robust().replace("{log}", log),
         "vector_top_k": f"""WITH {LISTS}
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score
 FROM met WHERE probe <= {PROBES} QUALIFY {best}""",
