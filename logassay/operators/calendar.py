@@ -17,27 +17,33 @@ from pyspark.sql import functions as F
 from logassay.functions import clock
 
 
+def _could_be_a_day(key: Column) -> Column:
+    """Months 1 to 12 and days 1 to 31: some 3.3 million integers at most, by arithmetic alone."""
+    return (
+        key.between(10000101, 99991231)
+        & F.pmod(key, F.lit(100)).between(1, 31)
+        & F.pmod(F.floor(key / 100), F.lit(100)).between(1, 12)
+    )
+
+
 def day_steps(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
     """Each active day with the days passed since the previous one (null for the first).
 
-    Days are folded while they are still integers and only then turned into dates,
-    which are folded again: all impossible days are one null by then, so the window
-    holds at most one row per calendar day and one more, whatever the column holds.
-    The null is dropped after the window: a filter placed before it would be pushed
-    down and run the conversion on every row. The row counts are carried along for a
-    like reason: two folds without them would be merged into one over converted rows.
+    Days are folded while they are still integers; integers that cannot be days go,
+    so the window holds a bounded number of rows whatever the column holds, and only
+    then they are turned into dates. That test asks for the folded row count as well,
+    as a plain one would be pushed below the fold and run on every row. The dates
+    that do not exist are null and are dropped after the window for the same reason.
     """
     earlier = Window.partitionBy(*keys).orderBy(F.col("day_date").asc_nulls_first())
     step = F.datediff("day_date", F.lag("day_date").over(earlier)).cast("bigint")
     return (
         df.groupBy(*keys, day)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, clock.day_key_to_date(F.col(day)).alias("day_date"), "_rows")
-        .groupBy(*keys, "day_date")
-        .agg(F.sum("_rows").alias("_rows"))
+        .where(F.when(F.col("_rows") > 0, _could_be_a_day(F.col(day))))
+        .select(*keys, clock.day_key_to_date(F.col(day)).alias("day_date"))
         .withColumn("days_since_previous", step)
-        .where(F.col("day_date").isNotNull() & (F.col("_rows") > 0))
-        .drop("_rows")
+        .where(F.col("day_date").isNotNull())
     )
 
 

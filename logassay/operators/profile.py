@@ -11,6 +11,7 @@ from logassay.functions import quantile
 from logassay.functions.numeric import filtered_sum, nulls, percent, rows_where, total
 from logassay.operators.verdict import merge_facts
 from logassay.roles import Roles
+from logassay.sources.scratch import materialize
 
 
 def _row_count(weight: str | None) -> Column:
@@ -89,8 +90,12 @@ def measure_profile(
     probabilities: Sequence[float] = quantile.QUARTILES_AND_TAIL,
     digits: int = 6,
 ) -> DataFrame:
-    """One row: min, max, mean, exact quantiles, and shares above 1 and at 0 among non-null."""
+    """One row: min, max, mean, exact quantiles, and shares above 1 and at 0 among non-null.
+
+    The measure is written once and every pass reads that column alone.
+    """
     m = F.col(measure)
+    df = materialize(df.select(measure), "measure")
     stats = measure_counts(
         df,
         measure,
@@ -116,7 +121,8 @@ def measure_profile(
 def measure_quantiles(
     df: DataFrame, measure: str, probabilities: Sequence[float] = quantile.QUARTILES_AND_TAIL
 ) -> DataFrame:
-    return quantile.nearest_quantiles(df, measure, probabilities)
+    """Rows (p, value); the measure is written once, so that the passes read eight bytes a row."""
+    return quantile.nearest_quantiles(materialize(df.select(measure), "measure"), measure, probabilities)
 
 
 def approximate_quantiles(

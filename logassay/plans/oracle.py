@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from logassay.operators.verdict import Rule
 from logassay.plans import suites
 from logassay.plans.catalog import (
-    CUT_BYTES, PUBLISHED, RATES, SEGMENTS, SEQUENCE_LENGTH, SPLITS, TOP, TRAINED_BEFORE,
+    CUT_BYTES, GIVEN, LACKING, PUBLISHED, RATES, SEGMENTS, SEQUENCE_LENGTH, SPLITS, TOP, TRAINED_BEFORE,
 )
 from logassay.plans.inputs import PARTIAL_DOUBLE, PEAKS, WHOLE_DOUBLE
 from logassay.plans.recommender_sql import recommender_sql
@@ -147,6 +147,18 @@ popular AS (
         WHERE day < {TRAINED_BEFORE} GROUP BY item_id)
   QUALIFY rank <= {TOP})"""
 
+# What each level removes, counted row by row in the log: copies of a row, then rows after the
+# first of a pair's day, then of a pair. Together they must leave one row for each pair.
+LADDER_SUMS = f"""
+sums AS (
+  SELECT count(*) FILTER (WHERE c > 1) + count(*) FILTER (WHERE c = 1 AND d > 1)
+           + count(*) FILTER (WHERE c = 1 AND d = 1 AND p > 1)
+         = count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id, item_id FROM log)) AS adds_up
+  FROM (
+    SELECT c, d, row_number() OVER (PARTITION BY user_id, item_id, c = 1 AND d = 1) AS p FROM (
+      SELECT *, row_number() OVER (PARTITION BY day, user_id, item_id, c = 1) AS d FROM (
+        SELECT *, row_number() OVER (PARTITION BY {COLUMNS}) AS c FROM log))))"""
+
 PROBABILITIES = (0.25, 0.50, 0.75, 0.90, 0.99)
 
 
@@ -425,12 +437,14 @@ FEATURES = {
 
 
 def cut_bytes(source: str, column: str, size: int) -> str:
-    """Values whose first ``size`` bytes end inside a character: the next byte continues one."""
-    after = f"substr(hex(encode({column})), {2 * size + 1}, 1) IN ('8', '9', 'A', 'B')"
+    """Pieces that begin or end inside a character: their first byte, or the one after their last, continues one."""
+    pieces = f"greatest(ceil(octet_length(encode({column})) / CAST({size} AS DOUBLE)), 1)"
+    inner = "SUBSTR(h, 2 * k * {0} + 1, 1) IN ('8', '9', 'A', 'B')".format(size)
+    after = "SUBSTR(h, 2 * (k + 1) * {0} + 1, 1) IN ('8', '9', 'A', 'B')".format(size)
     return f"""
 SELECT '{source}' AS table_name, count(*) AS rows, '{column}' AS column_name,
-       count(*) FILTER (WHERE {column} IS NULL) AS null_rows,
-       count(*) FILTER (WHERE {after}) AS invalid_rows FROM {source}"""
+       count(*) FILTER (WHERE h IS NULL) AS null_rows, count(*) FILTER (WHERE {inner} OR {after}) AS invalid_rows
+FROM (SELECT hex(encode({column})) AS h, unnest(range(CAST(coalesce({pieces}, 1) AS BIGINT))) AS k FROM {source})"""
 
 
 def split_case() -> str:
@@ -717,6 +731,10 @@ FROM (SELECT (SELECT count(*) FROM log) AS rows, (SELECT count(*) FROM (SELECT D
             utf8(t, c) for t, c in (
                 ("documents", "text"), ("documents", "lang"), ("documents", "source"), ("pages", "url"),
                 ("pages", "html"), ("conversations", "role"), ("conversations", "text"))),
+        "declared_tables": " UNION ALL ".join([
+            f"SELECT 'contract.output.{n}' AS check_id, 'PASS' AS verdict, count(*) AS rows,"
+            f" (SELECT count(*) FROM (DESCRIBE {n})) AS columns FROM {n}" for n in GIVEN
+        ]) + f" UNION ALL SELECT 'contract.output.{LACKING}', 'FAIL', NULL, NULL",
         "utf8_cut_bytes": " UNION ALL ".join(
             cut_bytes(t, c, CUT_BYTES) for t, c in (("documents", "text"), ("conversations", "text"))),
         "daily_dup_structure": with_(LOG_DAILY, "SELECT * FROM daily"),
@@ -727,12 +745,12 @@ SELECT day, rows, uniq_rows - distinct_pairs AS conflict_rows,
 SELECT day, dup_pairs, dup_pair_rows,
        round(CASE WHEN dup_pairs > 0 THEN CAST(dup_pair_rows AS DOUBLE) / dup_pairs END, 3) AS rows_per_dup_pair
 FROM daily"""),
-        "dedup_ladder": with_(f"{LOG_DAILY},{SUMMARY}", """
+        "dedup_ladder": with_(f"{LOG_DAILY},{SUMMARY},{LADDER_SUMS}", """
 SELECT CAST(0 AS INTEGER) AS step, 'raw' AS stage, CAST(0 AS BIGINT) AS removed_rows,
-       total_rows AS remaining_rows, true AS adds_up FROM summary
-UNION ALL SELECT 1, 'exact copies', total_rows - uniq_rows, uniq_rows, true FROM summary
-UNION ALL SELECT 2, 'pair within a day', uniq_rows - pair_days, pair_days, true FROM summary
-UNION ALL SELECT 3, 'pair over all days', pair_days - distinct_pairs, distinct_pairs, true FROM summary"""),
+       total_rows AS remaining_rows, adds_up FROM summary, sums
+UNION ALL SELECT 1, 'exact copies', total_rows - uniq_rows, uniq_rows, adds_up FROM summary, sums
+UNION ALL SELECT 2, 'pair within a day', uniq_rows - pair_days, pair_days, adds_up FROM summary, sums
+UNION ALL SELECT 3, 'pair over all days', pair_days - distinct_pairs, distinct_pairs, adds_up FROM summary, sums"""),
         "dup_summary": with_(f"{LOG_DAILY},{SUMMARY}", """
 SELECT total_rows, uniq_rows, total_rows - uniq_rows AS removed_dups, distinct_pairs, dup_pairs,
        dup_pair_rows, max_repeat FROM summary"""),

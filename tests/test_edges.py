@@ -266,11 +266,14 @@ def test_impossible_days_have_no_neighbours(spark):
     assert got == {20240101: (1, 30.0), 20240102: (1, 10.0), 20240230: (0, None), 20240231: (0, None), 20241399: (0, None)}
 
 
-def test_days_are_folded_again_as_dates_before_the_window(spark):
-    df = spark.createDataFrame([(20240101,), (20240230,), (20240231,), (None,)], "date bigint")
-    text = calendar.day_steps(df, "date")._jdf.queryExecution().optimizedPlan().toString()
-    assert text.index("Window") < text.index("Aggregate") < text.rindex("Aggregate")
-    assert calendar.day_steps(df, "date").count() == 1
+def test_impossible_days_never_reach_the_window(spark):
+    days = [(20240101,), (20240230,), (20240231,), (20241301,), (20240100,), (7,), (10**12,), (-20240101,), (None,), (20240103,)]
+    df = spark.createDataFrame(days, "date bigint")
+    got = calendar.day_steps(df, "date")
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    # The test of the integers stands between the fold and the window.
+    assert text.index("Window") < text.rindex("Filter") < text.index("Aggregate") and text.count("Aggregate") == 1
+    assert sorted((str(r.day_date), r.days_since_previous) for r in got.collect()) == [("2024-01-01", None), ("2024-01-03", 2)]
 
 
 def test_maps_do_not_stop_dedupe(spark):
