@@ -680,6 +680,17 @@ def peak_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict.combine(_peak(spark, sf_dir, _audit(spark, sf_dir)))
 
 
+@query
+def control_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract, profile and anomaly rules over the control log, whose rows partly lack clock and day."""
+    audit = suites.Audit(inputs.control(spark, sf_dir), ROLES)
+    return verdict.combine([
+        verdict.judge(suites.contract_facts(audit, ROLES.columns), "contract.control", suites.CONTRACT_RULES),
+        verdict.judge(suites.profile_facts(audit), "profile.control", suites.PROFILE_RULES),
+        verdict.judge(suites.anomaly_facts(audit), "anomaly.control", suites.ANOMALY_RULES),
+    ])
+
+
 @query
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five suites in one PASS/FAIL table, over one shared audit of the log."""

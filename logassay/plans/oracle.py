@@ -617,6 +617,24 @@ def suite(*names: str) -> str:
     return with_(",".join(ctes), " UNION ALL ".join(rows for name in names for _, rows in SUITES[name]))
 
 
+def control_suite() -> str:
+    """The rules about one log over the control log, which takes the log's name here."""
+    parts = [
+        judged("contract.control", suites.CONTRACT_RULES, CONTRACT, offset_profile("offsets", 28_800_000_000)),
+        judged(
+            "profile.control", suites.PROFILE_RULES,
+            f"SELECT * EXCLUDE (days) FROM ({scale('log')})",
+            _tail_of("user", "log", "user_id"), _tail_of("item", "log", "item_id"),
+            f"SELECT measured, null_count, gt1_count, eq0_count FROM ({MEASURE})", RATIO, CLOCK,
+            f"SELECT days, min_rows, max_rows FROM ({DAY_STATS.format('log')})",
+        ),
+        judged("anomaly.control", suites.ANOMALY_RULES, "SELECT * FROM summary", OVER,
+               f"SELECT zero_rows, null_rows FROM ({ZERO})", EPOCH),
+    ]
+    ctes = [CONTROL, f"log AS (SELECT {COLUMNS} FROM control)", LOG_OFFSETS, DAILY, SUMMARY, *[c for c, _ in parts]]
+    return with_(",".join(ctes), " UNION ALL ".join(rows for _, rows in parts))
+
+
 ALL_SUITES = ("contract", "profile", "anomaly", "diff", "peak")
 LOG_DAILY = f"{LOG},{DAILY}"
 
@@ -821,6 +839,7 @@ FROM (SELECT user_id, item_id, count(*) AS n FROM {source} GROUP BY user_id, ite
     for name in ALL_SUITES:
         q[f"{name}_verdicts"] = suite(name)
     q["verdicts"] = suite(*ALL_SUITES)
+    q["control_verdicts"] = control_suite()
     q["verdict_summary"] = f"""
 SELECT count(*) AS checks, count(*) FILTER (WHERE verdict = 'PASS') AS passed,
        count(*) FILTER (WHERE verdict = 'FAIL') AS failed FROM ({q["verdicts"]})"""
