@@ -28,6 +28,10 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # The phrases every scan counts, and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
+# Repeats are possessive, which Java runs in a loop; others recurse, and a long run of numbers
+# would end the stack. Each turn ends with a word, so nothing has to be given back.
+NUMBERS = r"(?: \d+(?= ))*+"
+
 # Hand-written names: label, expression over canonical words, a word it implies.
 NAMES = (
     ("apache", "apache(?: software)?(?: foundation)?", "apache"),
@@ -67,7 +71,7 @@ NAMES = (
     ("postgresql", "postgre(?:s|sql)", "postgre"),
     ("openssl", "openssl(?: ssleay)?", "openssl"),
     ("openrail", "(?:creativeml )?(?:bigscience )?open ?rail(?: m)?", "rail"),
-    ("llama", r"llama(?: \d+)*(?: community)?", "llama"),
+    ("llama", rf"llama{NUMBERS}(?: community)?", "llama"),
     ("cecill", "cecill(?: [bc])?", "cecill"),
     ("unicode", "unicode(?: dfs)?(?: inc)?", "unicode"),
     ("academic-free", "(?:academic free|afl)", "a"),
@@ -79,7 +83,10 @@ NAMES = (
     ("proprietary", "(?:proprietary|commercial|enterprise)", "r"),
     ("royalty-free", "royalty free", "royalty"),
 )
-VERSION = r"(?: (?:version|v) ?\d+(?: \d+)*| v?\d+(?: \d+)*)?(?: (?:international|unported|only|or later))*"
+VERSION = (
+    rf"(?: (?:version|v) ?\d+{NUMBERS}| v?\d+{NUMBERS})?"
+    r"(?: (?:international|unported|only|or later)(?= ))*+"
+)
 THE = "(?:the )?(?:terms of (?:the )?)?"
 LICENSE = "licen[cs]e"
 # Hand-written ways to state a name: expression around it, priority, keyword.
@@ -102,7 +109,7 @@ TEXTS = (
     ("no-warranty", "provided as is without warranty of any kind", 2, "warranty"),
     ("no-warranty", "without (?:even the implied )?warranty of (?:any kind|merchantability)", 1, "warranty"),
     ("public-domain", "(?:dedicated to|released (?:in)?to|in) the public domain", 2, "public domain"),
-    ("copyright", r"copyright(?: c)? (?:19|20)\d\d(?: (?:19|20)\d\d)*", 2, "copyright"),
+    ("copyright", r"copyright(?: c)? (?:19|20)\d\d(?: (?:19|20)\d\d(?= ))*+", 2, "copyright"),
     ("copyright", "copyright (?:c |holders?|owners?|notice)", 1, "copyright"),
     ("copyleft", "copyleft", 1, "copyleft"),
     ("rights-reserved", "(?:all|some|no) rights (?:are )?reserved", 1, "reserved"),
@@ -112,6 +119,155 @@ TEXTS = (
     ("cc-by-sa", f"cc by sa{VERSION}", 1, "cc by sa"),
     ("cc-by-nd", f"cc by nd{VERSION}", 1, "cc by nd"),
     ("cc-attribution", f"cc by{VERSION}", 1, "cc by"),
+    # Notices and grants, a sentence or a heading of each.
+    ("apache", "apache license version 2 0 january 2004", 4, "apache license"),
+    ("apache", "licensed under the apache license version 2 0 the license", 4, "apache license"),
+    ("apache", "you may not use this file except in compliance with the license", 3, "compliance with the license"),
+    ("apache", "you may obtain a copy of the license at", 2, "copy of the license"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license", 3, "under the license"),
+    ("apache", "see the license for the specific language governing permissions", 3, "permissions"),
+    ("apache", "licensed to the apache software foundation asf under one or more contributor license agreements", 4, "license agreements"),
+    ("apache", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license", 4, "copyright license"),
+    ("apache-1.1", "this product includes software developed by the apache (?:software foundation|group).{0,60}? (?:license|copyright)", 3, "apache"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions", 4, "permission notice"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied", 3, "warranty"),
+    ("mit", "in no event shall the authors or copyright holders be liable for any claim damages or other liability", 3, "copyright holders"),
+    ("mit-0", "mit no attribution license", 4, "no attribution"),
+    ("x11", "except as contained in this notice the name of .{1,60}? shall not be used in advertising .{1,200}? without prior written permission", 3, "prior written"),
+    ("hpnd", "permission to use copy modify (?:and )?distribute (?:and sell )?this software and its documentation for any purpose", 4, "permission to use"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice", 4, "copyright notice"),
+    ("bsd-3-clause", "neither the name of .{1,80}? may be used to endorse or promote products derived from this software without specific prior written permission", 4, "prior written permission"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment .{1,300}? (?:copyright|redistribution|license)", 4, "advertising materials"),
+    ("bsd", "this software is provided by the (?:copyright holders|regents|authors?)(?: and contributors)? as is and any express or implied warranties", 4, "warranties"),
+    ("bsd", "in no event shall the copyright (?:holders?|owners?)(?: or contributors)? be liable for any direct indirect incidental special", 3, "copyright"),
+    ("bsd-patent", "subject to the terms and conditions of this license each copyright holder and contributor hereby grants", 3, "copyright holder"),
+    ("gnu-gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", 4, "general public license"),
+    ("gnu-gpl", "gnu general public license for more details", 3, "general public license"),
+    ("gnu-gpl", "you should have received a copy of the gnu general public license", 3, "general public license"),
+    ("gnu-gpl-2", "gnu general public license version 2 june 1991", 4, "general public license"),
+    ("gnu-gpl-3", "gnu general public license version 3 29 june 2007", 4, "general public license"),
+    ("gnu-gpl-2", "version 2 of the (?:gnu general public )?license", 3, "version 2 of the"),
+    ("gnu-gpl-3", "version 3 of the (?:gnu general public )?license", 3, "version 3 of the"),
+    ("gnu-gpl", "the licenses for most software are designed to take away your freedom to share and change it", 4, "licenses for most software"),
+    ("gnu-gpl", "the gnu general public license is a free copyleft license for software and other kinds of works", 4, "copyleft license"),
+    ("gnu-gpl-classpath", "linking this library statically or dynamically with other modules .{1,200}? (?:copyright|permission)", 3, "linking this library"),
+    ("gnu-lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", 4, "general public license"),
+    ("gnu-lgpl", "you should have received a copy of the gnu (?:lesser|library) general public license", 3, "general public license"),
+    ("gnu-lgpl-2.1", "gnu lesser general public license version 2 1 february 1999", 4, "general public license"),
+    ("gnu-lgpl-3", "this version of the gnu lesser general public license incorporates the terms", 4, "general public license"),
+    ("gnu-agpl", "you should have received a copy of the gnu affero general public license", 3, "affero general public license"),
+    ("gnu-agpl", "gnu affero general public license version 3 19 november 2007", 4, "affero general public license"),
+    ("gnu-fdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 4, "free documentation license"),
+    ("gnu-fdl", "with no invariant sections no front cover texts and no back cover texts .{1,120}? license", 3, "invariant sections"),
+    ("gnu-all-permissive", "copying and distribution of this file with or without modification are permitted in any medium without royalty provided the copyright notice", 4, "without royalty"),
+    ("mozilla", "this source code form is subject to the terms of the mozilla public license", 4, "mozilla public license"),
+    ("mozilla", "if a copy of the mpl was not distributed with this file you can obtain one .{0,60}? licen[cs]e", 3, "copy of the mpl"),
+    ("mozilla-1.1", "the contents of this file are subject to the mozilla public license version 1 1", 4, "mozilla public license"),
+    ("netscape", "the contents of this file are subject to the netscape public license", 4, "netscape public license"),
+    ("mozilla", "incompatible with secondary licenses", 2, "secondary licenses"),
+    ("eclipse", "all rights reserved this program and the accompanying materials are made available under the terms of the eclipse public license", 4, "eclipse public license"),
+    ("eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license", 3, "eclipse public license"),
+    ("eclipse-distribution", "eclipse distribution license", 3, "eclipse distribution"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license", 4, "distribution license"),
+    ("cddl", "when distributing covered code include this cddl header .{0,60}? license", 3, "covered code"),
+    ("common-public", "the accompanying program is provided under the terms of this common public license", 4, "common public license"),
+    ("ibm-public", "ibm public license", 3, "ibm public"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 4, "permission to use"),
+    ("zero-bsd", "(?:zero clause bsd|0bsd) license", 3, "bsd license"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications", 4, "commercial applications"),
+    ("zlib", "altered source versions must be plainly marked as such .{1,160}? notice may not be removed .{0,80}? redistribution", 3, "altered source"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", 4, "organization obtaining"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", 4, "unencumbered"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software .{1,200}? (?:copyright|domain)", 3, "anyone is free"),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document", 3, "license document"),
+    ("gnu-license-text", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", 4, "license document"),
+    ("beer-ware", "beer ?ware license", 3, "license"),
+    ("beer-ware", "as long as you retain this notice you can do whatever you want with this stuff .{0,160}? (?:licen[cs]e|copyright)", 3, "retain this notice"),
+    ("artistic", "the intent of this document is to state the conditions under which a package may be copied such that the copyright holder", 4, "copyright holder"),
+    ("artistic", "the same terms as (?:the )?perl (?:5 )?(?:itself|programming language) .{0,60}? licen[cs]e", 2, "same terms as"),
+    ("python", "psf is making python available to licensee on an as is basis", 4, "licensee"),
+    ("python", "this license agreement is between the python software foundation", 4, "python software foundation"),
+    ("php", "this source file is subject to version \\d(?: \\d+)? of the php license", 4, "php license"),
+    ("openssl", "this product includes software developed by the openssl project .{0,80}? (?:license|copyright|redistribution)", 3, "openssl project"),
+    ("postgresql", "in no event shall the university of california be liable to any party .{1,300}? (?:copyright|warrant|permission)", 3, "university of california"),
+    ("ncsa", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers", 4, "following disclaimers"),
+    ("open-font", "this font software is licensed under the sil open font license", 4, "open font license"),
+    ("open-font", "the fonts and derivatives however cannot be released under any other type of license", 3, "type of license"),
+    ("ubuntu-font", "ubuntu font licen[cs]e", 3, "ubuntu font"),
+    ("cc-deed", "this work is licensed under a creative commons", 3, "creative commons"),
+    ("cc-deed", "to view a copy of this license visit (?:https? )?(?:www )?creativecommons org", 3, "creativecommons"),
+    ("cc-deed", "creativecommons org licenses", 3, "creativecommons"),
+    ("cc-zero", "creativecommons org publicdomain zero", 4, "publicdomain"),
+    ("cc-deed", "the work as defined below is provided under the terms of this creative commons public license", 4, "creative commons public"),
+    ("cc-deed", "you are free to share copy and redistribute the material .{1,300}? licen[cs]", 2, "free to share"),
+    ("cc-by", "you must give appropriate credit provide a link to the license and indicate if changes were made", 3, "appropriate credit"),
+    ("cc-by-nc", "you may not use the material for commercial purposes .{0,200}? licen[cs]", 3, "commercial purposes"),
+    ("cc-by-sa", "you must distribute your contributions under the same license as the original", 3, "same license as"),
+    ("cc-by-nd", "you may not distribute the modified material .{0,200}? licen[cs]", 3, "modified material"),
+    ("cc-zero", "has waived all copyright and related or neighboring rights", 4, "neighboring rights"),
+    ("public-domain", "public domain dedication", 3, "public domain"),
+    ("public-domain", "(?:no known copyright|no copyright) restrictions", 2, "copyright restrictions"),
+    ("public-domain", "no rights reserved", 2, "rights reserved"),
+    ("us-government", "works? of the (?:us|u s|united states) government .{0,120}? (?:copyright|public domain)", 2, "government"),
+    ("open-government", "open government licen[cs]e", 3, "open government"),
+    ("open-government", "contains public sector information licen[cs]ed under", 3, "sector information"),
+    ("open-database", "this .{1,80}? is made available under the open database license", 4, "open database license"),
+    ("open-database", "any rights in individual contents of the database are licensed under the database contents license", 4, "database contents license"),
+    ("etalab", "(?:licence ouverte|open licence) (?:etalab|version)", 3, "licence"),
+    ("microsoft-eula", "microsoft software license terms", 3, "software license terms"),
+    ("ms-public", "if you use the software you accept this license if you do not accept the license do not use the software", 4, "accept this license"),
+    ("oracle-binary", "oracle (?:binary code|technology network) license agreement", 3, "license agreement"),
+    ("eula", "end user licen[cs]e agreement", 2, "end user"),
+    ("eula", "by installing .{0,80}? you agree to be bound by .{0,80}? licen[cs]e", 2, "by installing"),
+    ("business-source", "business source license", 3, "business source"),
+    ("elastic", "elastic license", 3, "elastic license"),
+    ("server-side-public", "server side public license", 3, "server side public"),
+    ("commons-clause", "commons clause license condition", 4, "commons clause"),
+    ("polyform", "polyform (?:noncommercial|small business|strict|shield|perimeter) license", 3, "polyform"),
+    ("parity", "parity public license", 3, "parity public"),
+    ("hippocratic", "hippocratic license", 3, "hippocratic"),
+    ("json", "the software shall be used for good not evil .{0,200}? (?:warranty|licen[cs]e)", 3, "good not evil"),
+    ("llama", "llama (?:2|3|3 1|3 2|3 3|4) community license agreement", 4, "community license"),
+    ("llama", "built with (?:meta )?llama .{0,120}? licen[cs]e", 2, "built with"),
+    ("openrail", "use based restrictions .{0,200}? licen[cs]e", 2, "based restrictions"),
+    ("openrail", "bigscience rail license", 4, "rail license"),
+    ("gemma", "gemma (?:terms of use|prohibited use policy) .{0,200}? licen[cs]", 2, "gemma"),
+    ("falcon", "falcon llm license", 3, "falcon llm"),
+    ("model-license", "(?:model|weights) licen[cs]e agreement", 2, "agreement"),
+    ("research-only", "licen[cs]ed? (?:is )?(?:granted )?for (?:non commercial )?research (?:purposes )?only", 3, "research"),
+    ("non-commercial", "for non ?commercial (?:use|purposes) only .{0,120}? (?:licen[cs]|permission|copyright)", 2, "commercial"),
+    ("eupl", "licensed under the eupl", 3, "eupl"),
+    ("eupl", "european union public licence", 3, "european union"),
+    ("cecill", "this software is governed by the cecill(?: [abc])? license under french law", 4, "cecill"),
+    ("mulan", "mulan (?:psl license|permissive software license|public license)", 3, "mulan"),
+    ("upl", "universal permissive license", 3, "universal permissive"),
+    ("blue-oak", "blue oak model license", 3, "blue oak"),
+    ("ietf", "ietf trust and the persons identified as the document authors all rights reserved", 4, "ietf trust"),
+    ("ietf", "code components extracted from this document must include simplified bsd license text", 4, "code components"),
+    ("w3c", "w3c software (?:notice and|and document) license", 3, "w3c software"),
+    ("w3c", "permission to copy modify and distribute this (?:software|work) and its documentation with or without modification for any purpose", 3, "permission to copy"),
+    ("unicode", "unicode (?:inc )?license agreement data files and software", 4, "unicode"),
+    ("ijg", "this software is based in part on the work of the independent jpeg group .{0,120}? (?:copyright|warrant|licen[cs]e)", 3, "jpeg group"),
+    ("freetype", "freetype (?:project )?license", 3, "freetype"),
+    ("libpng", "libpng license", 3, "libpng"),
+    ("curl", "curl and libcurl are licensed under", 3, "libcurl"),
+    ("sqlite", "the author disclaims copyright to this source code", 4, "disclaims copyright"),
+    ("tcl", "the authors hereby grant permission to use copy modify distribute and license this software", 4, "hereby grant permission"),
+    ("opengl", "sgi free software license b", 4, "sgi free software"),
+    ("nist", "this software was developed .{1,120}? national institute of standards and technology .{1,300}? (?:copyright|domain|warrant)", 3, "national institute of standards"),
+    ("wikipedia", "text is available under the creative commons attribution share ?alike license", 4, "text is available"),
+    ("stack-exchange", "user contributions licensed under cc by sa", 4, "user contributions"),
+    ("arxiv", "arxiv org perpetual non exclusive license", 4, "arxiv"),
+    ("elsevier", "published by elsevier .{0,120}? (?:all rights reserved|open access article under the cc by)", 3, "elsevier"),
+    ("springer", "the author(?: s)? (?:under exclusive licen[cs]e to|exclusive licensee) springer", 4, "springer"),
+    ("open-access", "open access article (?:distributed )?under the (?:terms|conditions) of .{0,60}? licen[cs]e", 3, "open access"),
+    ("permission-needed", "no part of this (?:publication|book|work|document) may be reproduced .{1,300}? permission", 3, "no part of this"),
+    ("permission-needed", "reproduced with (?:the )?(?:kind )?permission", 2, "with"),
+    ("permission-needed", "without (?:the )?(?:express |prior )?(?:express |prior )?written permission", 2, "written permission"),
+    ("trademark", "trademarks? of their respective owners .{0,120}? (?:licen[cs]e|copyright|rights reserved|permission)", 1, "respective owners"),
+    ("attribution-required", "attribution (?:is )?required .{0,60}? licen[cs]e", 1, "attribution"),
+    ("warranty-disclaimer", "disclaims? all warranties", 1, "warranties"),
+    ("warranty-disclaimer", "warrant(?:y|ies) of merchantability (?:and |or )?fitness for a particular purpose", 1, "particular purpose"),
     ("license-mention", f"(?:licen[cs]ed|{LICENSE} agreement|terms of (?:the |this )?{LICENSE})", 1, "licen"),
 )
 WEIGHTS = {4: 1.0, 3: 0.9, 2: 0.7, 1: 0.5}
