@@ -286,8 +286,8 @@ def recall_curve(
         .join(cost, "probes", "left")
         .select(
             "probes",
-            F.lit(totals.queries).alias("queries"),
-            F.lit(totals.neighbours).alias("neighbours"),
+            F.lit(totals.queries).cast("long").alias("queries"),
+            F.lit(totals.neighbours).cast("long").alias("neighbours"),
             found_of.alias("found"),
             F.round(ratio(found_of, F.lit(totals.neighbours)), 6).alias("recall"),
             F.round(ratio(F.coalesce("_rows", F.lit(0)), F.lit(totals.queries * index.count)), 6).alias("compared"),
