@@ -3,13 +3,16 @@
 The windows of a text are grouped into runs that share a minimiser (the least
 hash of the short grams inside a window). Such a run travels as one string to
 the bucket of its minimiser; equal windows have equal minimisers, so a bucket
-sees every occurrence of its windows and counts them by sorting 128-bit hashes
-of the windows' words.
+sees every occurrence of its windows. It sorts them by 128 bits of hash and then
+compares neighbours word by word, in bytes.
 
-A first pass weighs the runs per fine bucket (at most ``FINE`` rows reach the
-driver). Fine buckets are then laid together to tasks of equal weight. A fine
-bucket heavier than ``heaviest`` is not gathered: its windows become rows that
-are counted by hash with partial sums and joined back, which Spark can split.
+A first pass weighs the runs per fine bucket, the first 16 bits of the minimiser
+(at most ``FINE`` rows reach the driver). Light fine buckets are laid together to
+tasks of equal weight; heavy ones are split by the next 32 bits. Only a single
+minimiser that is heavier than ``heaviest`` is not gathered: a second pass, over
+the heavy fine buckets alone, finds those (fewer than the runs' bytes divided by
+``heaviest``), and their windows become rows that are counted by hash with partial
+sums and joined back, which Spark can split.
 
 Results: null and empty texts have no words and no windows; each row is a
 document of its own, also when ids or whole rows repeat (their windows are then
@@ -36,6 +39,7 @@ BUFFERED = 24 << 20
 PER_TASK = 12 << 20
 HEAVIEST = 96 << 20
 NEVER = np.uint64(2**64 - 1)
+PIECE = 1 << 22
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -46,13 +50,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def super_kmers(raw: list[bytes], window: int):
-    """Words, and per run of windows with one minimiser: text, first word, windows, fine bucket."""
+    """Words, and per run of windows with one minimiser: text, first word, windows, minimiser."""
     words = split_words(raw, SPACED)
     marks = fingerprints(words)
     n = len(marks) - window + 1
     empty = np.empty(0, dtype=np.int64)
     if n <= 0:
-        return words, marks, empty, empty, empty, empty
+        return words, marks, empty, empty, empty, empty.astype(np.uint64)
     gram = min(GRAM, window)
     least = run_hashes(marks, gram)
     wide, span = 1, window - gram + 1
@@ -70,18 +74,26 @@ def super_kmers(raw: list[bytes], window: int):
     count = np.diff(np.append(begin, n))
     use = inside[begin]
     begin, count = begin[use], count[use]
-    return words, marks, doc[begin], begin, count, (least[begin] >> np.uint64(48)).astype(np.int64)
+    return words, marks, doc[begin], begin, count, least[begin]
+
+
+def fine_of(least: np.ndarray) -> np.ndarray:
+    return (least >> np.uint64(48)).astype(np.int64)
+
+
+def run_bytes(words, begin: np.ndarray, count: np.ndarray, window: int) -> np.ndarray:
+    return words.end[begin + count + window - 2] - words.start[begin]
 
 
 def weights(docs: DataFrame, window: int) -> np.ndarray:
     """Bytes of runs per fine bucket."""
 
     def work(raw: list[bytes], _: dict) -> dict:
-        words, _, _, begin, count, fine = super_kmers(raw, window)
+        words, _, _, begin, count, least = super_kmers(raw, window)
         if not len(begin):
             return {"fine": pa.array([], pa.int64()), "weight": pa.array([], pa.int64())}
-        size = words.end[begin + count + window - 2] - words.start[begin]
-        total = np.bincount(fine, weights=size, minlength=1).astype(np.int64)
+        size = run_bytes(words, begin, count, window)
+        total = np.bincount(fine_of(least), weights=size, minlength=1).astype(np.int64)
         at = np.flatnonzero(total)
         return {"fine": at, "weight": total[at]}
 
@@ -92,7 +104,50 @@ def weights(docs: DataFrame, window: int) -> np.ndarray:
     return out
 
 
-BLOB = "bucket int, texts binary, raw_size long, keys binary, runs binary"
+def heavy_minimisers(docs: DataFrame, fine: np.ndarray, window: int, heaviest: int) -> dict[int, int]:
+    """Weights of the single minimisers above ``heaviest``, looked for in the fine buckets that are."""
+    chosen = docs.sparkSession.sparkContext.broadcast(fine)
+
+    def work(raw: list[bytes], _: dict) -> dict:
+        words, _, _, begin, count, least = super_kmers(raw, window)
+        use = chosen.value[fine_of(least)]
+        least, own = np.unique(least[use], return_inverse=True)
+        total = np.bincount(own, weights=run_bytes(words, begin[use], count[use], window), minlength=len(least))
+        return {"least": least.view(np.int64), "weight": total.astype(np.int64)}
+
+    summed = map_texts(docs.select("text"), "least long, weight long", work)
+    rows = summed.groupBy("least").agg(F.sum("weight").alias("weight")).where(F.col("weight") > heaviest).collect()
+    return {r.least % (1 << 64): r.weight for r in rows}
+
+
+class Dealing:
+    """The bucket of every minimiser, -1 for the heavy ones."""
+
+    def __init__(self, weight: np.ndarray, heavy: dict[int, int], per_task: int):
+        self.heavy = np.array(sorted(heavy), dtype=np.uint64)
+        weight = weight - np.bincount(
+            fine_of(self.heavy), weights=[heavy[int(x)] for x in self.heavy], minlength=len(weight)
+        ).astype(np.int64)
+        # Fine buckets of less than a task's weight share one; the others have several of their own.
+        self.parts = np.maximum(1, -(-weight // per_task))
+        alone = self.parts > 1
+        shared = np.cumsum(np.where(alone, 0, weight)) // per_task
+        own = np.cumsum(np.where(alone, self.parts, 0)) - np.where(alone, self.parts, 0)
+        self.first = np.where(alone, shared[-1] + 1 + own, shared)
+
+    def bucket(self, least: np.ndarray) -> np.ndarray:
+        fine = fine_of(least)
+        within = ((least << np.uint64(16)) >> np.uint64(32)).astype(np.int64)
+        out = self.first[fine] + (within * self.parts[fine] >> 32)
+        out[self.is_heavy(least)] = -1
+        return out
+
+    def is_heavy(self, least: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.heavy, least)
+        return (at < len(self.heavy)) & (np.append(self.heavy, np.uint64(0))[at] == least)
+
+
+BLOB = "bucket long, texts binary, raw_size long, keys binary, runs binary"
 RUN = np.dtype([("doc", "<i4"), ("start", "<i4"), ("count", "<i4")])
 
 
@@ -108,7 +163,7 @@ def _blobs(held: dict[int, list[tuple[bytes, tuple[int, int], int, int]]]) -> pa
         rows["runs"].append(np.array([(number[k], s, c) for _, k, s, c in runs], dtype=RUN).tobytes())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(rows["bucket"], pa.int32()), pa.array(rows["texts"], pa.binary()),
+            pa.array(rows["bucket"], pa.int64()), pa.array(rows["texts"], pa.binary()),
             pa.array(rows["raw_size"], pa.int64()), pa.array(rows["keys"], pa.binary()),
             pa.array(rows["runs"], pa.binary()),
         ],
@@ -116,20 +171,20 @@ def _blobs(held: dict[int, list[tuple[bytes, tuple[int, int], int, int]]]) -> pa
     )
 
 
-def travelling(docs: DataFrame, bucket_of: np.ndarray, window: int) -> DataFrame:
+def travelling(docs: DataFrame, dealing: Dealing, window: int) -> DataFrame:
     """The runs of all texts, compressed per bucket and buffer; bucket -1 is left out."""
-    shared = docs.sparkSession.sparkContext.broadcast(bucket_of)
+    shared = docs.sparkSession.sparkContext.broadcast(dealing)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         size = 0
         for batch in batches:
             for part in slices(batch):
-                words, _, doc, begin, count, fine = super_kmers(
+                words, _, doc, begin, count, least = super_kmers(
                     part.column("text").cast(pa.binary()).to_pylist(), window
                 )
                 keys = list(zip(part.column("k1").to_pylist(), part.column("k2").to_pylist(), strict=True))
-                bucket = shared.value[fine]
+                bucket = shared.value.bucket(least)
                 first, last = words.start[begin], words.end[begin + count + window - 2]
                 start = begin - words.first[doc]
                 for b, d, s, c, x, y in zip(
@@ -175,6 +230,56 @@ def span_rows(doc: np.ndarray, start: np.ndarray, keys: np.ndarray, window: int)
     )
 
 
+def exact_words(words, marks: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Numbers for the words at ``places``, equal if and only if their bytes are."""
+    _, first, number = np.unique(marks[places], return_index=True, return_inverse=True)
+    start, length = words.start[places], (words.end - words.start)[places]
+    like = first[number]
+    differs = length != length[like]
+    data = np.frombuffer(words.buffer, dtype=np.uint8)
+    for size in np.unique(length).tolist():
+        own = np.flatnonzero((length == size) & ~differs & (like != np.arange(len(places))))
+        for s in range(0, len(own), PIECE // size + 1):
+            part = own[s : s + PIECE // size + 1]
+            step = np.arange(size)
+            differs[part] = (data[start[part][:, None] + step] != data[start[like[part]][:, None] + step]).any(axis=1)
+    # Words that share a fingerprint with another one get numbers by their bytes.
+    apart: dict[bytes, int] = {}
+    for i in np.flatnonzero(differs):
+        number[i] = apart.setdefault(words.word(int(places[i])), len(first) + len(apart))
+    return number
+
+
+def confirmed(words, marks: np.ndarray, at: np.ndarray, same: np.ndarray, window: int) -> np.ndarray:
+    """Which of the windows that begin at the words ``at``, sorted by hash, occur more than once.
+
+    ``same`` tells neighbours of one hash; they count if all their words are equal.
+    """
+    again = np.append(False, same) | np.append(same, False)
+    if not same.any():
+        return again
+    covered = np.zeros(len(marks) + 1, dtype=np.int64)
+    np.add.at(covered, at[again], 1)
+    np.add.at(covered, at[again] + window, -1)
+    places = np.flatnonzero(np.cumsum(covered[:-1]))
+    number = np.full(len(marks), -1, dtype=np.int64)
+    number[places] = exact_words(words, marks, places)
+    pairs = np.flatnonzero(same)
+    equal = np.ones(len(pairs), dtype=bool)
+    for k in range(window):
+        equal &= number[at[pairs] + k] == number[at[pairs + 1] + k]
+    if equal.all():
+        return again
+    # Different windows of one hash: each group of that hash is counted by its words.
+    group = np.cumsum(np.append(True, ~same))
+    for g in np.unique(group[pairs[~equal]]):
+        own = np.flatnonzero(group == g)
+        kept = [number[at[i] : at[i] + window].tobytes() for i in own]
+        times = {k: kept.count(k) for k in set(kept)}
+        again[own] = [times[k] > 1 for k in kept]
+    return again
+
+
 def counter(window: int):
     """Sorts the windows of a bucket and gives the spans of those that occur again."""
 
@@ -190,7 +295,8 @@ def counter(window: int):
             runs.append(part)
         keys, inverse = np.unique(np.concatenate(keys), axis=0, return_inverse=True)
         runs = np.concatenate(runs)
-        marks = fingerprints(split_words(raw, SPACED))
+        words = split_words(raw, SPACED)
+        marks = fingerprints(words)
         n = runs["count"].astype(np.int64)
         # A run of n windows has n + window - 1 words, and runs lie in order.
         at = np.arange(n.sum()) + np.repeat(np.arange(len(n)) * (window - 1), n)
@@ -198,7 +304,7 @@ def counter(window: int):
         order = np.lexsort((two, one))
         same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
         again = np.zeros(len(order), dtype=bool)
-        again[order] = np.append(False, same) | np.append(same, False)
+        again[order] = confirmed(words, marks, at[order], same, window)
         which = np.repeat(np.arange(len(runs)), n)
         start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + runs["start"][which]
         doc = inverse.ravel()[runs["doc"]][which]
@@ -207,17 +313,17 @@ def counter(window: int):
     return count
 
 
-def heavy_spans(docs: DataFrame, heavy: np.ndarray, window: int) -> DataFrame:
-    """Spans of the repeated windows in heavy fine buckets, window by window."""
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+def heavy_spans(docs: DataFrame, dealing: Dealing, window: int) -> DataFrame:
+    """Spans of the repeated windows of heavy minimisers, window by window."""
+    shared = docs.sparkSession.sparkContext.broadcast(dealing)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                words, marks, doc, begin, count, fine = super_kmers(
+                words, marks, doc, begin, count, least = super_kmers(
                     part.column("text").cast(pa.binary()).to_pylist(), window
                 )
-                use = shared.value[fine]
+                use = shared.value.is_heavy(least)
                 doc, begin, count = doc[use], begin[use], count[use]
                 at = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
                 doc = np.repeat(doc, count)
@@ -248,13 +354,13 @@ def repeated_spans(
 ) -> DataFrame:
     """k1, k2 and ``spans`` (start, end, start, end, ... in words) for rows with repeated windows."""
     weight = weights(docs, window)
-    heavy = weight > heaviest
-    light = np.where(heavy, 0, weight)
-    bucket_of = np.where(heavy, -1, np.cumsum(light) // per_task).astype(np.int32)
+    fine = weight > heaviest
+    heavy = heavy_minimisers(docs, fine, window, heaviest) if fine.any() else {}
+    dealing = Dealing(weight, heavy, per_task)
     ship_package(docs.sparkSession)
-    spans = travelling(docs, bucket_of, window).groupBy("bucket").applyInArrow(counter(window), SPANS)
-    if heavy.any():
-        spans = spans.unionAll(heavy_spans(docs, heavy, window))
+    spans = travelling(docs, dealing, window).groupBy("bucket").applyInArrow(counter(window), SPANS)
+    if heavy:
+        spans = spans.unionAll(heavy_spans(docs, dealing, window))
     return spans.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
