@@ -5,9 +5,14 @@ products with ``bits`` random hyperplanes; ``bits`` grows with the logarithm of
 the classes, so that unrelated vectors keep to buckets of a few rows, and the
 number of tables follows from ``bits`` and the wanted recall at the threshold.
 Buckets larger than ``block`` are cut into blocks, and pairs of blocks are tasks
-of their own, so no bucket is gathered whole. A pair met in several tables
-counts only in the first; a block pair returns counts and local component
-labels, one row per linked class, never its pairs.
+of their own, so no bucket is gathered whole.
+
+Block pairs are looked through twice. First with sketches alone, ``SKETCH`` signs
+of each vector: a row goes on only if its sketch is near another's, as near as
+those of linked vectors are but for one in 10^8. Vectors travel only to the block
+pairs where they go on, and there cosines are compared in double precision. A
+pair met in several tables counts only in the first; a block pair returns counts
+and local component labels, one row per linked class, never its pairs.
 
 Results: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing (n_links 0, a component of their own), and neither
@@ -31,7 +36,9 @@ from logassay.llm.common import map_batches, stored
 from logassay.llm.graph import components
 
 SEED = 20240117
-ROWS_PER_TASK = 40_000
+SKETCH = 128
+ROWS_PER_TASK = 100_000
+BYTES_PER_TASK = 24 << 20
 
 
 def hyperplanes(size: int, bits: int, tables: int) -> np.ndarray:
@@ -45,6 +52,12 @@ def plan_tables(classes: int, threshold: float, recall: float) -> tuple[int, int
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree))
 
 
+def sketch_limit(threshold: float, bits: int) -> int:
+    """Signs in which the sketches of linked vectors differ at most, six deviations above the mean."""
+    p = math.acos(threshold) / math.pi
+    return math.ceil(bits * p + 6 * math.sqrt(bits * p * (1 - p)))
+
+
 def _vectors(column: pa.ListArray) -> list[np.ndarray | None]:
     """Usable vectors as doubles, null for the rest."""
     out: list[np.ndarray | None] = []
@@ -81,29 +94,76 @@ def _described(vectors: DataFrame) -> DataFrame:
 
 
 def _signed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
+    """cls, vec, copies, the bucket in every table, and the first signs as a sketch of two longs."""
     weights = (1 << np.arange(bits, dtype=np.int64)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for b in batches:
             rows = [np.frombuffer(x, dtype=np.float64) for x in b.column("vec").to_pylist()]
-            signs: list[list[int]] = []
-            for x in rows:
+            signs: list[np.ndarray] = []
+            sketches = np.zeros((len(rows), SKETCH // 8), dtype=np.uint8)
+            for i, x in enumerate(rows):
                 p = planes.setdefault(len(x), None)
                 if p is None:
                     p = planes[len(x)] = hyperplanes(len(x), bits, tables)
-                signs.append((((x / np.abs(x).max()) @ p).reshape(tables, bits) > 0) @ weights)
+                up = ((x / np.abs(x).max()) @ p) > 0
+                signs.append(up.reshape(tables, bits) @ weights)
+                first = np.packbits(up[:SKETCH])
+                sketches[i, : len(first)] = first
+            halves = sketches.view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in ("cls", "vec", "copies")], pa.array(signs, pa.list_(pa.int64()))],
-                names=["cls", "vec", "copies", "signs"],
+                [
+                    *[b.column(c) for c in ("cls", "vec", "copies")], pa.array(signs, pa.list_(pa.int64())),
+                    pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])),
+                ],
+                names=["cls", "vec", "copies", "signs", "s1", "s2"],
             )
 
     return map_batches(
         classes.select("cls", "vec", "copies"),
-        "cls binary, vec binary, copies long, signs array<long>", run,
+        "cls binary, vec binary, copies long, signs array<long>, s1 long, s2 long", run,
     )
 
 
+KEY = ("table", "bucket", "i", "j")
+
+
+def _block_pairs(rows: pa.Table, *more: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """Each block pair's key, the rows of its first block (all, if it is one block), and its rows in order.
+
+    ``more`` are values that rows must share besides the key.
+    """
+    keys = np.stack([rows.column(c).to_numpy() for c in KEY], axis=1)
+    block = rows.column("block").to_numpy()
+    order = np.lexsort((block, *more, *keys.T[::-1]))
+    k = np.column_stack([keys, *more])[order]
+    edges = np.append(np.flatnonzero(np.append(True, (k[1:] != k[:-1]).any(axis=1))), len(k))
+    for s, e in zip(edges[:-1], edges[1:], strict=True):
+        at, key = order[s:e], k[s]
+        if len(at) > 1:
+            yield key, len(at) if key[2] == key[3] else int(np.count_nonzero(block[at] == key[2])), at
+
+
+def _going_on(rows: pa.Table, limit: int) -> pa.Table:
+    """The rows that have a near sketch in their block pair."""
+    sketch = np.stack([rows.column(c).to_numpy() for c in ("s1", "s2")], axis=1).view(np.uint64)
+    keep = np.zeros(len(sketch), dtype=bool)
+    for key, cut, at in _block_pairs(rows):
+        left, right = (at, at) if key[2] == key[3] else (at[:cut], at[cut:])
+        if not len(right):
+            continue
+        gap = np.zeros((len(left), len(right)), dtype=np.uint8)
+        for half in (0, 1):
+            gap += np.bitwise_count(sketch[left, half][:, None] ^ sketch[right, half][None, :])
+        near = gap <= limit
+        if left is right:
+            np.fill_diagonal(near, False)
+        keep[left] |= near.any(axis=1)
+        keep[right] |= near.any(axis=0)
+    return rows.select(["id", *KEY, "block"]).filter(pa.array(keep))
+
+
 def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest member of each member's component, for links a-b among n members."""
     label = np.arange(n)
@@ -125,19 +185,10 @@ def _compared(rows: pa.Table, threshold: float) -> pa.RecordBatch:
     copies = rows.column("copies").to_numpy()
     raw = rows.column("vec").to_pylist()
     signs = np.array(rows.column("signs").to_pylist(), dtype=np.int64)
-    keys = np.stack([rows.column(c).to_numpy() for c in ("table", "bucket", "i", "j")], axis=1)
     sizes = np.array([len(x) for x in raw])
-    block = rows.column("block").to_numpy()
-    order = np.lexsort((block, sizes, *keys.T[::-1]))
-    k = np.column_stack([keys[order], sizes[order]])
-    edges = np.append(np.flatnonzero(np.append(True, (k[1:] != k[:-1]).any(axis=1))), len(k))
     out: dict[str, list] = {c: [] for c in names}
-    for s, e in zip(edges[:-1], edges[1:], strict=True):
-        at = order[s:e]
-        if len(at) < 2:
-            continue
-        table, i, j = k[s, 0], k[s, 2], k[s, 3]
-        cut = len(at) if i == j else int(np.count_nonzero(block[at] == i))
+    for key, cut, at in _block_pairs(rows, sizes):
+        table, i, j = key[0], key[2], key[3]
         unit = _unit(np.stack([np.frombuffer(raw[x], dtype=np.float64) for x in at]))
         near = unit[:cut] @ (unit if i == j else unit[cut:]).T >= threshold
         a, b = np.nonzero(np.triu(near, 1) if i == j else near)
@@ -173,28 +224,43 @@ def near_vectors(
         "vector-classes",
     )
     bits, tables = plan_tables(classes.count(), threshold, recall)
-    signed = stored(_signed(classes, bits, tables), "signatures")
-    entries = signed.select("cls", F.posexplode("signs").alias("table", "bucket"))
+    signed = stored(
+        _signed(classes, bits, tables).withColumn("id", F.monotonically_increasing_id()), "signatures"
+    )
+    entries = signed.select("id", "s1", "s2", F.posexplode("signs").alias("table", "bucket"))
     buckets = (
         entries.groupBy("table", "bucket")
         .agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("blocks"), F.count(F.lit(1)).alias("size"))
         .where("size > 1")
         .select("table", "bucket", "blocks")
     )
-    dealt = (
+    placed = (
         entries.join(buckets, ["table", "bucket"])
-        .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select(
-            "cls", "table", "bucket", "block",
+            "id", "s1", "s2", "table", "bucket", "block",
             F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         )
     )
-    placed = stored(dealt, "vector-blocks")
-    tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(placed.count() / ROWS_PER_TASK)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, math.ceil(signed.count() * tables / ROWS_PER_TASK))
+    limit = sketch_limit(threshold, min(SKETCH, bits * tables))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            yield from _going_on(pa.Table.from_batches(held), limit).to_batches()
+
+    kept = stored(
+        map_batches(
+            placed.repartition(tasks, *KEY), "id long, table int, bucket long, i long, j long, block long", sift
+        ),
+        "vector-blocks",
     )
-    joined = placed.join(signed, "cls").repartition(tasks, "table", "bucket", "i", "j")
+    width = signed.agg(F.max(F.length("vec"))).first()[0] or 0
+    tasks = max(least, math.ceil(kept.count() * (width + 8 * tables) / BYTES_PER_TASK))
+    joined = kept.join(signed.drop("s1", "s2"), "id").repartition(tasks, *KEY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)

@@ -8,7 +8,7 @@ from made import CLASHING, ITEMS, benchmark, docs, frame, nothing, rows  # noqa:
 import corpus_pipeline
 from logassay.llm import decontamination, embedding_dedup, line_dedup, ngram_join, substring_dedup
 from logassay.llm.graph import components
-from logassay.llm.word_arrays import SPACED, fingerprints, split_words
+from logassay.llm.word_arrays import SPACED, fingerprints, run_hashes, split_words
 
 
 def matches(df, rows, want, names):
@@ -54,12 +54,47 @@ def test_bands_keep_linked_sizes_next_to_each_other():
         assert 3 * hi <= 4 * lo and ngram_join.differences(b) >= (hi + hi * 4 // 3) // 7
 
 
-@pytest.mark.parametrize("heaviest", [1 << 30, 1])
-def test_substring_dedup(docs, rows, heaviest):
-    got = substring_dedup.digested(substring_dedup.without_repeats(docs, 35, heaviest=heaviest))
+@pytest.mark.parametrize("heaviest,per_task", [(1 << 30, 12 << 20), (1, 12 << 20), (4000, 900)])
+def test_substring_dedup(docs, rows, heaviest, per_task):
+    """All fine buckets light; all minimisers heavy; fine buckets split, and some minimisers heavy."""
+    got = substring_dedup.digested(substring_dedup.without_repeats(docs, 35, per_task, heaviest))
     matches(got, rows, brute.without_repeats(rows, 35), ["n_words", "n_removed", "kept_sha256"])
 
 
+def test_heavy_fine_buckets_are_split_before_minimisers():
+    r = np.random.default_rng(6)
+    # One fine bucket holds half of all weight, one of its minimisers most of that; one has none.
+    least = np.concatenate([r.integers(0, 2**63, 4000), (7 << 48) + r.integers(0, 2**48, 3000), [(7 << 48) + 5]]).astype(np.uint64)
+    size = np.append(np.full(7000, 10), 25_000)
+    weight = np.bincount(substring_dedup.fine_of(least), weights=size, minlength=substring_dedup.FINE).astype(np.int64)
+    dealing = substring_dedup.Dealing(weight, {(7 << 48) + 5: 25_000}, 500)
+    bucket = dealing.bucket(least)
+    assert bucket[-1] == -1 and (bucket[:-1] >= 0).all()
+    held = np.bincount(bucket[:-1], weights=size[:-1])
+    assert dealing.parts[7] == 60 and held.max() < 1500 and len(set(bucket[4000:7000].tolist())) == 60
+    assert not set(bucket[:4000][substring_dedup.fine_of(least[:4000]) != 7].tolist()) & set(bucket[4000:7000].tolist())
+
+
+@pytest.mark.parametrize("mask", [2**64 - 1, 3, 0])
+def test_windows_are_compared_in_bytes(monkeypatch, mask):
+    """With few fingerprints nearly all windows share a hash; their words still tell them apart."""
+    r = np.random.default_rng(7)
+    plain = [" ".join(f"w{x}" for x in r.integers(0, 4, 40)) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate([*plain, *plain[:5], "a b c d e f", "a b c d  e\nf", "a b c d e g"])]
+    monkeypatch.setattr(substring_dedup, "fingerprints", lambda w: fingerprints(w) & np.uint64(mask))
+    monkeypatch.setattr(substring_dedup, "run_hashes", lambda m, n, salt=0: run_hashes(m, n, salt) & np.uint64(mask))
+    texts = [t.encode() for _, t in rows]
+    words, _, doc, begin, count, least = substring_dedup.super_kmers(texts, 6)
+    held = {}
+    for d, s, c in zip(doc.tolist(), begin.tolist(), count.tolist(), strict=True):
+        raw = words.buffer[words.start[s] : words.end[s + c + 4]]
+        held.setdefault(0, []).append((raw, (d, d), s - int(words.first[d]), c))
+    got = substring_dedup.counter(6)(substring_dedup.pa.Table.from_batches([substring_dedup._blobs(held)]))
+    spans = {k: [tuple(x) for x in np.array(v).reshape(-1, 2).tolist()] for k, v in zip(got.column("k1").to_pylist(), got.column("spans").to_pylist(), strict=True)}
+    for (i, t), (_, removed, _) in zip(rows, brute.without_repeats(rows, 6), strict=True):
+        assert sum(e - s for s, e in spans.get(i, [])) == removed, t
+
+
 def test_substring_dedup_counts_equal_rows(spark):
     long = " ".join(f"w{i}" for i in range(50))
     for extra in ([], [(1, long)], [(None, long)]):
@@ -75,7 +110,7 @@ def test_decontamination(docs, rows, benchmark):
 
 
 def test_decontamination_without_broadcast(docs, rows, benchmark, monkeypatch):
-    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
     names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     matches(decontamination.contamination(docs, benchmark), rows, brute.contaminated(rows, ITEMS), names)
     clean = decontamination.clean_documents(docs, benchmark)
@@ -223,3 +258,81 @@ def test_pipeline_stage_by_stage(spark, docs, rows, benchmark, tmp_path):
     assert set(held[3]) == clean == set(held[4])
     whole = corpus_pipeline.run(spark, sf_dir)
     assert sorted((r.doc_id, r.n_tokens) for r in whole.collect()) == sorted((i, r.n_tokens) for i, r in held[4].items())
+
+
+def test_near_vectors_of_a_larger_table(spark):
+    """Given vectors and copies near the threshold, against all pairs: no false link, and hardly one missed."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("embedding IS NOT NULL").limit(900)
+    own = np.array([r.embedding for r in table.collect()], dtype=np.float64)
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    r = np.random.default_rng(10)
+    spread = [own + 0.04 * k / 3 * r.standard_normal(own.shape) for k in (1, 2, 2, 3)]
+    x = np.concatenate([own, *spread]).astype(np.float32)
+    unit = x.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    n = near.sum(axis=1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_vectors(df).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert 1000 < near.sum() < near.size / 100 and (found <= n).all() and found.sum() >= 0.995 * n.sum()
+
+
+def test_sketches_keep_linked_vectors():
+    r = np.random.default_rng(9)
+    bits, tables = embedding_dedup.plan_tables(100_000, 0.95, 0.9995)
+    planes = embedding_dedup.hyperplanes(64, bits, tables)[:, : embedding_dedup.SKETCH]
+    a = r.standard_normal((20_000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = r.standard_normal((20_000, 64))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    limit = embedding_dedup.sketch_limit(0.95, embedding_dedup.SKETCH)
+    assert (((a @ planes > 0) != (b @ planes > 0)).sum(axis=1) <= limit).all()
+    far = r.standard_normal((20_000, 64))
+    assert (((a @ planes > 0) != (far @ planes > 0)).sum(axis=1) > limit).mean() > 0.99
+
+
+def plain_near(rows, items, size=10, slop=8):
+    """Items with a proximity match per row, by trying every start for every passage."""
+    out = []
+    passages = []
+    for item, text in items:
+        w = brute.lettered(text)
+        for k in range(max(len(w) - size + 1, 1) if w else 0):
+            if k % size == 0 or k + size >= len(w):
+                passages.append((str(item), w[k : k + size]))
+    for _, text in rows:
+        words, found = brute.lettered(text), set()
+        for item, part in passages:
+            m = len(set(part))
+            least = max(m - (m >= 10), 2)
+            if any(len(set(words[i : i + len(part) + slop]) & set(part)) >= least for i in range(len(words))):
+                found.add(item)
+        out.append(len(found))
+    return out
+
+
+def test_proximity_by_trying_everything(spark):
+    r = np.random.default_rng(12)
+    vocabulary = [f"v{i}" for i in range(60)]
+    pick = lambda n: [vocabulary[i] for i in np.minimum(r.geometric(0.06, n), 59)]
+    items = [(i, " ".join(pick(n))) for i, n in enumerate([3, 9, 10, 10, 11, 23, 35, 10, 6, 1, 2])]
+    rows = []
+    for i in range(160):
+        words = pick(int(r.integers(0, 120)))
+        part = items[i % len(items)][1].split(" ")[:10]
+        if i % 2:
+            part = [part[k] for k in r.permutation(len(part))][int(r.integers(0, 3)) :]
+            for x in pick(int(r.integers(0, 12))):
+                part.insert(int(r.integers(0, len(part) + 1)), x)
+        at = int(r.integers(0, len(words) + 1))
+        rows.append((i, " ".join([*words[:at], *part, *words[at:]])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {x.doc_id: x for x in decontamination.contamination(frame(spark, rows), benchmark).collect()}
+    want = plain_near(rows, items)
+    assert [got[i].n_near_items for i, _ in rows] == want and len(set(want)) > 3
+    names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    exact = brute.contaminated(rows, items)
+    assert [tuple(got[i][n] for n in names) for i, _ in rows] == exact
