@@ -147,8 +147,9 @@ def fitted(
 ) -> Discriminant:
     """The model of all labelled rows of ``measured`` (see ``features``) that are not held out."""
     taught = (
-        labels.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("quality"))
-        .where(F.col("quality").isin(0, 1))
+        labels.select(F.col("doc_id").alias("_id"), F.col("quality").try_cast("double").alias("quality"))
+        .where(F.col("quality").isin(0.0, 1.0))
+        .withColumn("quality", F.col("quality").cast("int"))
         .groupBy("_id")
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("_max"))
         .where(F.col("quality") == F.col("_max"))
