@@ -77,22 +77,12 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.contamination(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=False
-    )
-    return found.drop("n_near_items")
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 SQL["op8_benchmark_decontamination"] = decontamination.SQL
 
 
-@query
-def op8_benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contamination(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    )
-
-
 @query
 def op9_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trips(table(spark, sf_dir, "documents"))
