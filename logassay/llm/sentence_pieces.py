@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from logassay.llm.common import map_batches, slices
 
 MARK = "▁"
-CACHED_BYTES = 128 << 20
+CACHED_BYTES = 64 << 20
 CACHED_PAIRS = 2_000_000
 WORD_BYTES = 200  # what a cached word takes besides its letters and ids
 NEVER = float("inf")
