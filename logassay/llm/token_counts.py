@@ -1,10 +1,11 @@
 """Token counts by a two-tier lookup on the map side.
 
 Tier one is a broadcast table of frequent pre-tokens and their lengths in
-tokens, at most ``frequent`` entries, counted on at most ``sample_rows`` rows;
-it only decides speed, never a result. Tier two is a worker's cache, at most
+tokens, at most ``frequent`` entries. They are counted over all texts: a task
+keeps its most frequent ones, and only those summaries, of bounded size, meet.
+The table decides speed, never a result. Tier two is a worker's cache, at most
 ``cache_entries`` entries, filled by merging each missed pre-token by rank.
-Nothing is shuffled by pre-token.
+Nothing else is shuffled by pre-token.
 
 Results: a null text counts as empty and has 0 bytes and 0 tokens; each row is
 counted by itself, so repeated rows and ids, ties and extra columns change
@@ -17,21 +18,26 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections import Counter
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logassay.llm.common import map_texts, texts_of
+from logassay.llm.common import map_batches, map_texts, slices, stored, texts_of
 
 # The pre-token rule of the vocabulary file, written for the plain
 # characters (no numbers but digits), and what counts as plain.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+"
 PLAIN = r"[\t\n\r\x20-\x7E\xA1-\xAC\xAE-\xB1\xB4-\xB8\xBA\xBB\xBF-\u024F]*+"
 LONGEST_CACHED = 64
+# A task's summary: pre-tokens it counts at once, as a multiple of the table, and those it passes on.
+COUNTED, PASSED = 10, 2
 
 _vocabularies: dict[str, Vocabulary] = {}
-_lengths: dict[tuple[str, int], Lengths] = {}
+_lengths: dict[str, Lengths] = {}
 
 
 class Vocabulary:
@@ -90,36 +96,58 @@ class Lengths(dict):
         return n
 
 
-def frequent_pre_tokens(df: DataFrame, sample_rows: int, frequent: int) -> list[str]:
-    """The most frequent pre-tokens of a bounded sample; the driver gets ``frequent`` rows."""
-    pattern = re.compile(PRE_TOKEN)
+def frequent_pre_tokens(df: DataFrame, frequent: int) -> list[str]:
+    """The most frequent pre-tokens of all texts, by the tasks' summaries; the driver gets ``frequent`` rows.
 
-    def count(raw: list[bytes], _: dict) -> dict:
-        found: Counter[str] = Counter()
-        for t in raw:
-            found.update(p for p in pattern.findall(t.decode()) if len(p) <= LONGEST_CACHED)
-        return {"piece": list(found), "n": list(found.values())}
+    A pre-token that fell out of a task's counts begins anew, so its count may be too low.
+    """
+    findall = re.compile(PRE_TOKEN).findall
 
-    sample = df.select("text").limit(sample_rows)
-    counted = map_texts(sample, "piece string, n long", count).groupBy("piece").agg(F.sum("n").alias("n"))
-    return [r.piece for r in counted.orderBy(F.desc("n"), "piece").limit(frequent).collect()]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[str] = Counter()
+        for batch in batches:
+            for part in slices(batch):
+                for text in part.column("text").to_pylist():
+                    found.update(findall(text))
+                if len(found) > COUNTED * frequent:
+                    found = Counter(dict(found.most_common(COUNTED * frequent // 2)))
+        top = [(p, n) for p, n in found.most_common(PASSED * frequent) if len(p) <= LONGEST_CACHED]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["piece", "n"]
+        )
+
+    counted = stored(
+        map_batches(df.select("text"), "piece string, n long", run).groupBy("piece").agg(F.sum("n").alias("n")),
+        "pre-tokens",
+    )
+    # Each task of a sort sends its first rows; so first the power of two that enough counts reach.
+    power = F.floor(F.log2("n")).cast("int")
+    reach, least = 0, 0
+    for r in sorted(counted.groupBy(power.alias("p")).count().collect(), key=lambda r: -r["p"]):
+        reach, least = reach + r["count"], 1 << r["p"]
+        if reach >= frequent:
+            break
+    top = counted.where(F.col("n") >= least).repartition(8)
+    return [r.piece for r in top.orderBy(F.desc("n"), "piece").limit(frequent).collect()]
 
 
 def token_counts(
     docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit: int = 512,
-    sample_rows: int = 1000, frequent: int = 20_000, cache_entries: int = 400_000,
+    frequent: int = 20_000, cache_entries: int = 400_000,
 ) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > ``limit``) for every row."""
     df = texts_of(docs, "doc_id", "text")
     merge = vocabulary_of(vocabulary).merge
-    known = {p: len(merge(p.encode())) for p in frequent_pre_tokens(df, sample_rows, frequent)}
-    table = docs.sparkSession.sparkContext.broadcast(known)
+    known = {p: len(merge(p.encode())) for p in frequent_pre_tokens(df, frequent)}
+    table, call = docs.sparkSession.sparkContext.broadcast(known), uuid.uuid4().hex
 
     def count(raw: list[bytes], rest: dict) -> dict:
-        voc, key = vocabulary_of(vocabulary), (vocabulary, cache_entries)
-        if key not in _lengths:
-            _lengths[key] = Lengths(voc, table.value, cache_entries)
-        lengths = _lengths[key].__getitem__
+        voc = vocabulary_of(vocabulary)
+        if call not in _lengths:
+            # A worker serves one call after another; the cache of the last one goes.
+            _lengths.clear()
+            _lengths[call] = Lengths(voc, table.value, cache_entries)
+        lengths = _lengths[call].__getitem__
         pre_tokens, plain = re.compile(PRE_TOKEN).findall, re.compile(PLAIN).fullmatch
         out = []
         for t in raw:

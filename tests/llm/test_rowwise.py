@@ -30,13 +30,21 @@ def by_id(df):
 
 
 def test_token_counts_are_the_library_s(docs, rows):
-    got = by_id(token_counts.token_counts(docs, sample_rows=20, frequent=50, cache_entries=300))
+    got = by_id(token_counts.token_counts(docs, frequent=50, cache_entries=300))
     assert len(got) == len(rows)
     for i, t in rows:
         n = len(LIBRARY.encode(t or "", add_special_tokens=False).ids)
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((t or "").encode()), n, n > 512)
 
 
+def test_frequent_pre_tokens_of_all_texts(spark):
+    """The last rows count like the first."""
+    texts = ["alpha beta"] * 50 + ["beta gamma"] * 80 + ["delta " * 40]
+    df = frame(spark, list(enumerate(texts))).repartitionByRange(4, "doc_id")
+    assert token_counts.frequent_pre_tokens(df, 3) == [" gamma", "beta", " beta"]
+    assert token_counts.frequent_pre_tokens(df.limit(0), 3) == []
+
+
 def test_token_counts_of_mixed_texts(spark):
     texts = mixed_texts(800)
     got = by_id(token_counts.token_counts(frame(spark, list(enumerate(texts)))))
