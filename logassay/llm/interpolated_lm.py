@@ -17,6 +17,8 @@ How the work is dealt:
   They go, cut at the bounds of hash ranges, to one group for each range. A
   group adds up the counts of all chunks and answers every chunk in the order
   it asked, so no n-gram comes back and a frequent one is sent once per chunk.
+* A chunk's row and its answers meet in a group of their own, so a task holds
+  one chunk, and works on its tokens in slices of ``slice_tokens``.
 * With the answers a chunk knows the counts behind each of its tokens. Deleted
   chunks yield a histogram of (context bucket, estimates in steps of half a bit),
   whose size is bounded by its grid; it is all the driver gets for the fit.
@@ -36,7 +38,7 @@ empty result; extra columns play no part.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,7 @@ from logassay.llm.word_arrays import SPACED, fingerprints, mix, split_words
 
 ORDER = 3
 CHUNK_TOKENS = 1 << 22
+SLICE_TOKENS = 1 << 18
 GROUP_ENTRIES = 3 << 20
 SPARE_BITS = 20
 HELD_OUT, KEPT, DELETED = 0, 1, 2
@@ -249,20 +252,16 @@ def answer(table: pa.Table) -> pa.Table:
 
 
 class Estimates:
-    """Per token of a chunk: counts, context counts and the context's bucket."""
-
-    def __init__(self, chunk: Chunk, counts: dict[int, np.ndarray], ranges: Ranges, tokens: int, texts: int):
-        n = len(chunk.marks)
-        self.count = np.empty((ranges.order, n))
-        for order in range(1, ranges.order + 1):
-            place = np.unique(chunk.grams(order, ranges.bits), return_inverse=True)[1]
-            self.count[order - 1] = counts[order][place]
+    """Per token of some whole texts: counts, context counts and the context's bucket."""
+
+    def __init__(self, count: np.ndarray, first: np.ndarray, tokens: int, texts: int):
+        self.count, self.first = count.astype(np.float64), first
         self.context = np.empty_like(self.count)
         self.context[0] = tokens
         self.context[1:, 1:] = self.count[:-1, :-1]
-        self.context[1:, chunk.first] = texts
-        self.bucket = np.full(n, LEVEL, dtype=np.int64)
-        for order in range(2, ranges.order + 1):
+        self.context[1:, first] = texts
+        self.bucket = np.full(count.shape[1], LEVEL, dtype=np.int64)
+        for order in range(2, len(count) + 1):
             seen = self.context[order - 1] > 0
             self.bucket[seen] = order * LEVEL + np.log2(self.context[order - 1, seen]).astype(np.int64)
 
@@ -271,39 +270,65 @@ class Estimates:
         return np.divide(self.count, self.context, out=np.zeros_like(self.count), where=self.context > 0)
 
 
-def told(cells: list[dict], column: str, order: int) -> np.ndarray:
-    """The answers to a chunk's n-grams of one order, in the order it asked."""
-    own = sorted((c for c in cells if c["order"] == order), key=lambda c: c["bucket"])
-    return np.concatenate([unpack(c[column]) for c in own]).astype(np.float64)
+def estimates(
+    chunk: Chunk, answers: pa.Table, column: str, ranges: Ranges, tokens: int, texts: int, slice_tokens: int
+) -> Iterator[Estimates]:
+    """The chunk's estimates by slices of about ``slice_tokens`` tokens, at least one text each.
+
+    Only the counts are held for the whole chunk, in as few bytes as they need.
+    """
+    rows = [answers.column(c).to_pylist() for c in ("order", "bucket", column)]
+    count = []
+    for order in range(1, ranges.order + 1):
+        # A chunk's answers stand in the order it asked: by range, then as sorted.
+        own = np.concatenate([unpack(raw) for k, _, raw in sorted(zip(*rows, strict=True)) if k == order])
+        own = own.astype(np.min_scalar_type(own.max()))
+        count.append(own[np.unique(chunk.grams(order, ranges.bits), return_inverse=True)[1]])
+    edges = np.append(chunk.first, len(chunk.marks))
+    text = 0
+    while text < len(chunk.first):
+        end = max(text + 1, int(np.searchsorted(edges, edges[text] + slice_tokens, side="right")) - 1)
+        yield Estimates(
+            np.stack([c[edges[text] : edges[end]] for c in count]), edges[text:end] - edges[text], tokens, texts
+        )
+        text = end
+
 
+def chunk_of(row: pa.Table) -> Chunk:
+    return Chunk(*[row.column(c)[0].as_py() for c in ("sizes", "words", "tokens")])
 
-def with_answers(table: DataFrame, answers: DataFrame) -> DataFrame:
-    listed = answers.groupBy("chunk").agg(F.collect_list(F.struct("order", "bucket", "both", "kept")).alias("told"))
-    return table.join(listed, "chunk")
+
+def with_answers(
+    table: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str
+) -> DataFrame:
+    """``work`` on each chunk's row and its answers; one chunk at a time is in a task's memory."""
+    return table.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(work, schema)
 
 
 # --- mixture weights ------------------------------------------------------
 
 
-def evidence(joined: DataFrame, ranges: Ranges, tokens: int, texts: int) -> DataFrame:
+def evidence(
+    table: DataFrame, answers: DataFrame, ranges: Ranges, tokens: int, texts: int, slice_tokens: int
+) -> DataFrame:
     """Histogram of the deleted part's tokens: cell and count."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                cell = {c: b.column(c)[i].as_py() for c in b.schema.names}
-                counts = {k: told(cell["told"], "kept", k) for k in range(1, ranges.order + 1)}
-                chunk = Chunk(cell["sizes"], cell["words"], cell["tokens"])
-                known = Estimates(chunk, counts, ranges, tokens, texts)
-                code = known.bucket
-                for share in known.shares():
-                    step = np.zeros(len(code), dtype=np.int64)
-                    step[share > 0] = np.minimum(1 + np.rint(-STEPS * np.log2(share[share > 0])), GRID - 1)
-                    code = code * GRID + step
-                cells, times = np.unique(code, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(times)], names=["cell", "n"])
-
-    found = map_batches(joined.select("sizes", "words", "tokens", "told"), "cell long, n long", run)
+    def work(row: pa.Table, answers: pa.Table) -> pa.Table:
+        found = []
+        for known in estimates(chunk_of(row), answers, "kept", ranges, tokens, texts, slice_tokens):
+            code = known.bucket
+            for share in known.shares():
+                step = np.zeros(len(code), dtype=np.int64)
+                step[share > 0] = np.minimum(1 + np.rint(-STEPS * np.log2(share[share > 0])), GRID - 1)
+                code = code * GRID + step
+            found.append(np.unique(code, return_counts=True))
+        cells, times = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.table({"cell": cells, "n": times})
+
+    found = with_answers(
+        table.select("chunk", "sizes", "words", "tokens"), answers.select("chunk", "order", "bucket", "kept"),
+        work, "cell long, n long",
+    )
     return found.groupBy("cell").agg(F.sum("n").alias("n"))
 
 
@@ -358,7 +383,8 @@ def fitted(cells: DataFrame, order: int, words: int) -> np.ndarray:
 
 
 def lm_scores(
-    docs: DataFrame, order: int = ORDER, chunk_tokens: int = CHUNK_TOKENS, group_entries: int = GROUP_ENTRIES
+    docs: DataFrame, order: int = ORDER, chunk_tokens: int = CHUNK_TOKENS, group_entries: int = GROUP_ENTRIES,
+    slice_tokens: int = SLICE_TOKENS,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every row."""
     ship_package(docs.sparkSession)
@@ -376,36 +402,37 @@ def lm_scores(
     )
     seen = answers.where("order = 1").agg(F.sum("seen_both").alias("both"), F.sum("seen_kept").alias("kept")).first()
     known_words, kept_words = seen.both or 0, seen.kept or 0
-    deleted = with_answers(table.where(F.col("part") == DELETED), answers.where("kept IS NOT NULL"))
-    weights = fitted(evidence(deleted, ranges, total("t", KEPT), total("d", KEPT)), order, kept_words)
+    cells = evidence(
+        table.where(F.col("part") == DELETED), answers.where("kept IS NOT NULL"),
+        ranges, total("t", KEPT), total("d", KEPT), slice_tokens,
+    )
+    weights = fitted(cells, order, kept_words)
     tokens, texts = total("t", KEPT, DELETED), total("d", KEPT, DELETED)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                cell = {c: b.column(c)[i].as_py() for c in ("part", "sizes", "words", "tokens", "told")}
-                chunk = Chunk(cell["sizes"], cell["words"], cell["tokens"])
-                counts = {k: told(cell["told"], "both", k) for k in range(1, order + 1)}
-                found = Estimates(chunk, counts, ranges, tokens, texts)
-                mixed = weights[found.bucket, 0] / (known_words + 1)
-                for k, share in enumerate(found.shares(), 1):
-                    mixed += weights[found.bucket, k] * share
-                base = np.log10((found.count[0] + 0.5) / (tokens + 0.5 * (known_words + 1)))
-                by_text = lambda x: np.add.reduceat(x, chunk.first)
-                n = len(chunk.sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column("ids")[i].values, pa.array(np.full(n, cell["part"] == HELD_OUT)),
-                        pa.array(chunk.sizes), pa.array(by_text((found.count[0] > 0).astype(np.int64))),
-                        pa.array(np.full(n, tokens, dtype=np.int64)), pa.array(by_text(base)),
-                        pa.array(by_text(np.log10(mixed))),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
-
-    joined = with_answers(table, answers).select("part", "ids", "sizes", "words", "tokens", "told")
-    return map_batches(
-        joined,
+    def work(row: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk = chunk_of(row)
+        known, base, score = [], [], []
+        for found in estimates(chunk, answers, "both", ranges, tokens, texts, slice_tokens):
+            mixed = weights[found.bucket, 0] / (known_words + 1)
+            for k, share in enumerate(found.shares(), 1):
+                mixed += weights[found.bucket, k] * share
+            known.append(np.add.reduceat((found.count[0] > 0).astype(np.int64), found.first))
+            of_words = np.log10((found.count[0] + 0.5) / (tokens + 0.5 * (known_words + 1)))
+            base.append(np.add.reduceat(of_words, found.first))
+            score.append(np.add.reduceat(np.log10(mixed), found.first))
+        n = len(chunk.sizes)
+        return pa.table(
+            {
+                "doc_id": row.column("ids").combine_chunks().flatten(),
+                "held_out": np.full(n, row.column("part")[0].as_py() == HELD_OUT),
+                "n_tokens": chunk.sizes, "n_known": np.concatenate(known),
+                "train_tokens": np.full(n, tokens, dtype=np.int64),
+                "base_score": np.concatenate(base), "score": np.concatenate(score),
+            }
+        )
+
+    return with_answers(
+        table.select("chunk", "part", "ids", "sizes", "words", "tokens"),
+        answers.select("chunk", "order", "bucket", "both"), work,
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
-        run,
     )

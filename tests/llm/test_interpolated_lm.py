@@ -1,11 +1,13 @@
 """Deleted interpolation against a plain version with dictionaries of n-grams."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from made import frame, nothing, rows  # noqa: F401
 
@@ -146,3 +148,29 @@ def test_shares_of_a_context_sum_to_one():
     values = np.unique(r.integers(0, 2**50, 500).astype(np.uint64))
     assert (lm.unpack_sorted(lm.pack_sorted(values)) == values).all()
     assert lm.unpack(lm.pack(np.zeros(0, np.uint64))).size == 0 and lm.unpack(lm.pack(np.zeros(3, np.uint64))).tolist() == [0] * 3
+
+
+@pytest.mark.parametrize("slice_tokens", [1, 50])
+def test_slices_of_a_chunk_score_alike(spark, slice_tokens):
+    texts = speech(80)
+    same(frame(spark, texts), plain(texts), slice_tokens=slice_tokens)
+
+
+def test_a_task_holds_one_chunk_and_only_its_counts(spark):
+    """Chunks are not gathered into batches, and estimates do not exist for a whole chunk at once."""
+    plan = lm.lm_scores(frame(spark, speech(20)))._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan and "Join" not in plan
+    r = np.random.default_rng(2)
+    sizes, marks = np.full(4000, 50), r.integers(0, 3000, 200_000).astype(np.uint64)
+    words, tokens = np.unique(marks, return_inverse=True)
+    chunk = lm.Chunk(lm.pack(sizes), words.tobytes(), lm.pack(tokens))
+    ranges = lm.Ranges(3, len(words), len(marks), 1 << 30)
+    asked = [np.unique(chunk.grams(k, ranges.bits), return_counts=True)[1] for k in (1, 2, 3)]
+    answers = pa.table({"order": [1, 2, 3], "bucket": [0, 0, 0], "both": [lm.pack(n) for n in asked]})
+    tracemalloc.start()
+    try:
+        total = sum(x.count.shape[1] for x in lm.estimates(chunk, answers, "both", ranges, 1, 1, 5000))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == len(marks) and peak < 80 * len(marks)  # counts and contexts alone take 48, with shares 72
