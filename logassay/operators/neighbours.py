@@ -1,21 +1,31 @@
 """Items that go together, from who touched both: co-occurrence with cosine norm, and Swing.
 
-Both start from the distinct (user, item) pairs. Where all pairs within a list
-are wanted, the list is cut in blocks and every pair of blocks is a row of its
-own: a user with a third of the log becomes many rows, each of at most
-``block`` squared pairs, and no pair is left out. Pairs are summed up in the
-map tasks before they are shuffled, and only ``top`` neighbours of an item pass
-the rank filter of a task.
+Both start from the distinct (user, item) pairs. For Swing, pairs of users are
+formed inside tasks from lists (``meetings``); shuffled are lists, not pairs: a
+user's list goes to each block of items it holds one of, an item's list of
+users to each block of users. Only possible neighbours, or items that similar
+users share, leave a task.
+
+``member_pairs`` gives the pairs of lists as rows of a table: a list is cut in
+blocks, and every pair of blocks is a row of its own.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logassay.operators import order
+from logassay.operators.meetings import BLOCK_MEMBERS, Lists, block_count, packed_lists, similar, spread
 from logassay.roles import Roles
+from logassay.sources.scratch import materialize
 
 BLOCK = 64
+NAME_BITS = 31
+NO_ITEMS = pa.schema([(c, pa.int64()) for c in ("a", "b", "item")]).empty_table()
+NO_MEETINGS = pa.schema([(c, pa.int64()) for c in ("x", "y", "c")]).empty_table()
 
 
 def member_pairs(df: DataFrame, group: str, member: str, block: int = BLOCK) -> DataFrame:
@@ -90,52 +100,93 @@ def item_neighbours(df: DataFrame, roles: Roles, top: int, block: int = BLOCK) -
     return _best(scored, roles.item, [F.desc("cosine")], ["users_both", "cosine"], top)
 
 
-def similar_users(touched: DataFrame, shared: int, block: int = BLOCK) -> DataFrame:
+def _lists_of_users(touched: DataFrame, shared: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Items' lists of users for each block of users, the numbered items and users, and the blocks.
+
+    A list's name is the item's place from rare to frequent and its place by id.
+    Users are numbered by the item that heads all but their ``shared`` - 1 most
+    frequent ones, so a user skips no less than its later partners would.
+    """
+    touched = materialize(touched, "touched")
+    degree = touched.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    items = order.positions(order.positions(degree, [F.col("n"), F.col("i")], "_place"), [F.col("i")], "code")
+    if items.count() >= 1 << NAME_BITS:
+        raise ValueError(f"more than 2^{NAME_BITS} items")
+    name = F.shiftleft("_place", NAME_BITS).bitwiseOR(F.col("code"))
+    placed = materialize(touched.join(items, "i").select("u", name.alias("g")), "placed")
+    tops = placed.groupBy("u").agg(F.max("g").alias("_top"), F.count(F.lit(1)).alias("_n"))
+    if shared != 2:
+        down = F.sort_array(F.collect_list("g"), asc=False)
+        tops = placed.groupBy("u").agg(F.get(down, F.lit(max(0, shared - 2))).alias("_top"), F.count(F.lit(1)).alias("_n"))
+    users = order.positions(tops.where(F.col("_n") >= shared).select("u", "_top"), [F.col("_top"), F.col("u")], "m")
+    blocks = block_count(placed, "g", users.count(), block)
+    rows = placed.join(users.select("u", "m"), "u").select("g", "m")
+    lists = packed_lists(rows.repartition("g").sortWithinPartitions("g", "m"), blocks, tails=True)
+    return lists, items.select("i", "code"), users.select("u", "m"), blocks
+
+
+def similar_users(touched: DataFrame, shared: int, block: int = BLOCK_MEMBERS) -> DataFrame:
     """a, b, items: pairs of users with at least ``shared`` items in common, and those items.
 
     Items are ordered from rare to frequent. Two users with ``shared`` common
     items have one among all but the ``shared`` - 1 most frequent items of each,
     so those are not paired up: of every user the hubs are left out, which
-    would make most pairs, and no pair is lost. Common items are then taken from
-    the users' whole lists.
+    would make most pairs, and no pair is lost.
     """
-    degree = touched.groupBy("i").agg(F.count(F.lit(1)).alias("_d"))
-    listed = (
-        touched.join(degree, "i")
-        .groupBy("u")
-        .agg(F.array_sort(F.collect_list(F.struct("_d", "i"))).alias("_l"))
-        .select("u", F.transform("_l", lambda x: x["i"]).alias("items"))
-        .where(F.size("items") >= shared)
-    )
-    rare = listed.select(
-        "u", F.explode(F.slice("items", 1, F.size("items") - (shared - 1))).alias("i")
-    )
-    candidates = member_pairs(rare, "i", "u", block).select("a", "b").distinct()
-    left, right = listed.select(F.col("u").alias("a"), F.col("items").alias("_l")), listed.select(
-        F.col("u").alias("b"), F.col("items").alias("_r")
-    )
-    return (
-        candidates.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", F.array_sort(F.array_intersect("_l", "_r")).alias("items"))
-        .where(F.size("items") >= shared)
+    lists, items, users, blocks = _lists_of_users(touched, shared, block)
+
+    def met(table: pa.Table) -> pa.Table:
+        found = []
+        for a, b, n, names in similar(Lists(table), blocks, shared):
+            codes = np.bitwise_and(names, (1 << NAME_BITS) - 1)
+            found.append(pa.table({"a": np.repeat(a, n), "b": np.repeat(b, n), "item": codes}))
+        return pa.concat_tables(found) if found else NO_ITEMS
+
+    rows = lists.groupBy("block").applyInArrow(met, "a long, b long, item long")
+    numbered = rows.join(items, F.col("item") == F.col("code")).groupBy("a", "b")
+    pairs = numbered.agg(F.array_sort(F.collect_list("i")).alias("items"))
+    x, y = users.select(F.col("m").alias("a"), F.col("u").alias("_u")), users.select(F.col("m").alias("b"), F.col("u").alias("_v"))
+    return pairs.join(x, "a").join(y, "b").select(
+        F.least("_u", "_v").alias("a"), F.greatest("_u", "_v").alias("b"), "items"
     )
 
 
-def swing_neighbours(df: DataFrame, roles: Roles, top: int, alpha: int = 1, block: int = BLOCK) -> DataFrame:
+def swing_neighbours(df: DataFrame, roles: Roles, top: int, alpha: int = 1, block: int = BLOCK_MEMBERS) -> DataFrame:
     """Per item its ``top`` items (a top-n report) by the Swing score.
 
     Each pair of users that touched both items adds 1 / (alpha + the number of
-    items the two users share). Ties go to the smaller item.
+    items the two users share). Ties go to the smaller item. Pairs of users end
+    inside their task; what is shuffled is items met, once, by the item they are counted for.
     """
-    users = similar_users(_distinct(df, roles), 2, block)
-    shared = F.size("items").cast("bigint")
-    met = users.select(shared.alias("c"), "items", F.posexplode("items").alias("_at", "a"))
-    pairs = met.select("c", "a", F.explode(F.expr("slice(items, _at + 2, size(items))")).alias("b"))
+    lists, items, _, blocks = _lists_of_users(_distinct(df, roles), 2, block)
+
+    def met(table: pa.Table) -> pa.Table:
+        found = []
+        for _, _, n, names in similar(Lists(table), blocks, 2):
+            codes = np.bitwise_and(names, (1 << NAME_BITS) - 1)
+            size = np.repeat(n, n)
+            later = np.repeat(np.cumsum(n), n) - np.arange(len(codes)) - 1
+            x, y = np.repeat(codes, later), codes[spread(np.arange(len(codes)) + 1, later)]
+            c = np.repeat(size, later)
+            found.append(pa.table({"x": np.append(x, y), "y": np.append(y, x), "c": np.append(c, c)}))
+        return pa.concat_tables(found) if found else NO_MEETINGS
+
+    pairs = lists.groupBy("block").applyInArrow(met, "x long, y long, c long")
     # Counts by size are exact, so the sum does not depend on the order of rows.
-    counted = pairs.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"))
-    scored = counted.groupBy("a", "b").agg(
+    counted = pairs.repartition(order.parallelism(df), "x").groupBy("x", "y", "c").agg(F.count(F.lit(1)).alias("n"))
+    scored = counted.groupBy("x", "y").agg(
         F.sum("n").alias("user_pairs"),
         F.round(F.sum(F.col("n") / (alpha + F.col("c"))), 9).alias("swing"),
     )
-    return _best(scored, roles.item, [F.desc("swing")], ["user_pairs", "swing"], top)
+    # Numbers are places by id, so ties among them go to the smaller item.
+    place = Window.partitionBy("x").orderBy(F.desc("swing"), "y")
+    best = scored.withColumn("rank", F.row_number().over(place).cast("bigint")).where(F.col("rank") <= top)
+    best = materialize(best, "met")
+    return (
+        best.join(items.alias("_n"), F.col("x") == F.col("_n.code"))
+        .join(items.alias("_m"), F.col("y") == F.col("_m.code"))
+        .select(
+            F.col("_n.i").alias(roles.item), "rank", F.col("_m.i").alias(f"neighbour_{roles.item}"),
+            "user_pairs", "swing",
+        )
+    )
