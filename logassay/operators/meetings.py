@@ -166,6 +166,42 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(starts, append=len(keys))
 
 
+def counted(lists: Lists, blocks: int, piece: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """a, b, lists both stand in: for the block's members, sorted by a and b, each a whole in one yield."""
+    at, of = lists.members(blocks)
+    a = lists.codes[at].astype(np.int64)
+    cum = np.cumsum(lists.sizes[of])
+    held = None
+    s = 0
+    while s < len(a):
+        e = max(s + 1, int(np.searchsorted(cum, cum[s] - lists.sizes[of[s]] + piece, side="right")))
+        length = lists.sizes[of[s:e]]
+        own, rank = np.unique(a[s:e], return_inverse=True)
+        b = lists.codes[spread(lists.first[of[s:e]], length)].astype(np.int64)
+        keys = np.repeat(rank << LOW, length) | b
+        keys = keys[np.repeat(a[s:e], length) != b]
+        keys.sort()
+        starts, n = runs(keys)
+        keys = keys[starts]
+        x, y = own[keys >> LOW], keys & ((1 << LOW) - 1)
+        if held is not None:
+            # A member with more than a piece of pairs goes on.
+            same = x == held[0][0]
+            y0, back = np.unique(np.concatenate((held[1], y[same])), return_inverse=True)
+            n0 = np.bincount(back, weights=np.concatenate((held[2], n[same]))).astype(np.int64)
+            x = np.concatenate((np.full(len(y0), held[0][0]), x[~same]))
+            y, n = np.concatenate((y0, y[~same])), np.concatenate((n0, n[~same]))
+            held = None
+        if e < len(a) and a[e] == a[e - 1]:
+            last = x == a[e - 1]
+            if last.any():
+                held = x[last], y[last], n[last]
+            x, y, n = x[~last], y[~last], n[~last]
+        if len(x):
+            yield x, y, n
+        s = e
+
+
 def similar(
     lists: Lists, blocks: int, shared: int, piece: int = PIECE
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:

@@ -1,6 +1,6 @@
 """Items that go together, from who touched both: co-occurrence with cosine norm, and Swing.
 
-Both start from the distinct (user, item) pairs. For Swing, pairs of users are
+Both start from the distinct (user, item) pairs. Pairs of items or of users are
 formed inside tasks from lists (``meetings``); shuffled are lists, not pairs: a
 user's list goes to each block of items it holds one of, an item's list of
 users to each block of users. Only possible neighbours, or items that similar
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logassay.operators import order
-from logassay.operators.meetings import BLOCK_MEMBERS, Lists, block_count, packed_lists, similar, spread
+from logassay.operators.meetings import BLOCK_MEMBERS, Lists, block_count, counted, packed_lists, runs, similar, spread
 from logassay.roles import Roles
 from logassay.sources.scratch import materialize
 
@@ -26,6 +26,7 @@ BLOCK = 64
 NAME_BITS = 31
 NO_ITEMS = pa.schema([(c, pa.int64()) for c in ("a", "b", "item")]).empty_table()
 NO_MEETINGS = pa.schema([(c, pa.int64()) for c in ("x", "y", "c")]).empty_table()
+SLACK = 1e-8  # more than a rounding to 9 digits and the sums' own error
 
 
 def member_pairs(df: DataFrame, group: str, member: str, block: int = BLOCK) -> DataFrame:
@@ -68,36 +69,74 @@ def _distinct(df: DataFrame, roles: Roles) -> DataFrame:
     return df.where(known).select(F.col(roles.user).alias("u"), F.col(roles.item).alias("i")).distinct()
 
 
-def _best(pairs: DataFrame, item: str, order: list[Column], values: list[str], top: int) -> DataFrame:
-    """Both directions of (a, b) rows, the first ``top`` neighbours of each item ranked from 1."""
-    both = pairs.select(
-        F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")),
-                          F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"),
-        *values,
-    ).select(F.col("p.x").alias(item), F.col("p.y").alias(f"neighbour_{item}"), *values)
+def _ranked(rows: DataFrame, item: str, order: list[Column], values: list[str], top: int) -> DataFrame:
+    """The first ``top`` neighbours of each item ranked from 1."""
     place = Window.partitionBy(item).orderBy(*order, f"neighbour_{item}")
     return (
-        both.withColumn("rank", F.row_number().over(place).cast("bigint"))
+        rows.withColumn("rank", F.row_number().over(place).cast("bigint"))
         .where(F.col("rank") <= top)
         .select(item, "rank", f"neighbour_{item}", *values)
     )
 
 
-def item_neighbours(df: DataFrame, roles: Roles, top: int, block: int = BLOCK) -> DataFrame:
+def nearest(
+    a: np.ndarray, b: np.ndarray, n: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, top: int
+) -> np.ndarray:
+    """Which rows may be among the first ``top`` of their a by n / sqrt(of_a * of_b), rounded.
+
+    Rows are sorted by a and b. All within a rounding of the value at place
+    ``top`` stay; of those with the same n and of_b, which tie, the first ``top``.
+    """
+    starts, length = runs(a)
+    rank = np.repeat(np.arange(len(starts)), length)
+    value = 2.0 * rank - n / np.sqrt(of_a.astype(np.float64) * of_b)  # a cosine is at most 1
+    last = np.sort(value)[starts + np.minimum(top, length) - 1]
+    kept = np.flatnonzero(value <= last[rank] + SLACK)
+    kept = kept[np.lexsort((b[kept], of_b[kept], n[kept], rank[kept]))]
+    tied = np.stack((rank[kept], n[kept], of_b[kept]))
+    starts = np.flatnonzero(np.concatenate(([True], (tied[:, 1:] != tied[:, :-1]).any(axis=0))))
+    place = np.arange(len(kept)) - np.repeat(starts, np.diff(starts, append=len(kept)))
+    return kept[place < top]
+
+
+def item_neighbours(df: DataFrame, roles: Roles, top: int, block: int = BLOCK_MEMBERS) -> DataFrame:
     """Per item its ``top`` items (a top-n report) by users_both / sqrt(users * users of the other).
 
-    Ties go to the smaller item. Items without a neighbour have no row.
+    Ties go to the smaller item. Items without a neighbour have no row. Items
+    are numbered by users and item, so a number tells its users by a list of at
+    most sqrt(2 * pairs) bounds, and equal counts of equal users tie in order.
     """
-    touched = _distinct(df, roles)
+    touched = materialize(_distinct(df, roles), "touched")
     users = touched.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
-    both = member_pairs(touched, "u", "i", block).groupBy("a", "b").agg(F.count(F.lit(1)).alias("users_both"))
+    items = order.positions(users, [F.col("n"), F.col("i")], "code")
+    bounds = items.groupBy("n").agg(F.min("code").alias("first")).orderBy("n").collect()
+    first = np.array([r["first"] for r in bounds], dtype=np.int64)
+    degree = np.array([r["n"] for r in bounds], dtype=np.int64)
+    blocks = block_count(touched, "u", items.count(), block)
+    listed = touched.join(items.select("i", "code"), "i").select(F.col("u").alias("g"), F.col("code").alias("m"))
+
+    def met(table: pa.Table) -> pa.Table:
+        found = []
+        for a, b, n in counted(Lists(table), blocks):
+            of_a, of_b = (degree[np.searchsorted(first, x, side="right") - 1] for x in (a, b))
+            kept = nearest(a, b, n, of_a, of_b, top)
+            found.append((a[kept], b[kept], n[kept]))
+        cells = [np.concatenate(x) for x in zip(*found, strict=True)] or [np.zeros(0, np.int64)] * 3
+        return pa.table(dict(zip(("a", "b", "users_both"), cells, strict=True)))
+
+    lists = packed_lists(listed.repartition("g").sortWithinPartitions("g", "m"), blocks)
+    # Written, as a lost executor would have its blocks met again.
+    both = materialize(lists.groupBy("block").applyInArrow(met, "a long, b long, users_both long"), "met")
     product = F.col("_n.n").cast("double") * F.col("_m.n")
     scored = (
-        both.join(users.alias("_n"), F.col("a") == F.col("_n.i"))
-        .join(users.alias("_m"), F.col("b") == F.col("_m.i"))
-        .select("a", "b", "users_both", F.round(F.col("users_both") / F.sqrt(product), 9).alias("cosine"))
+        both.join(items.alias("_n"), F.col("a") == F.col("_n.code"))
+        .join(items.alias("_m"), F.col("b") == F.col("_m.code"))
+        .select(
+            F.col("_n.i").alias(roles.item), F.col("_m.i").alias(f"neighbour_{roles.item}"), "users_both",
+            F.round(F.col("users_both") / F.sqrt(product), 9).alias("cosine"),
+        )
     )
-    return _best(scored, roles.item, [F.desc("cosine")], ["users_both", "cosine"], top)
+    return _ranked(scored, roles.item, [F.desc("cosine")], ["users_both", "cosine"], top)
 
 
 def _lists_of_users(touched: DataFrame, shared: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
