@@ -97,3 +97,50 @@ def test_an_iterator_holds_open_windows_only():
     got = hn.windows(endless, 2, 80, 100)
     assert [next(got)[3], next(got)[3]] == [1, 100]
     assert list(got) == []
+
+
+def test_tasks_follow_the_rows_and_not_the_pairs_of_blocks(spark):
+    rows = vectors(400, 9)
+    spark.sparkContext.setJobGroup("hard-negatives", "")
+    try:
+        found(spark, rows, row_bytes=800, anchor_bytes=32, anchor_every=10)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("hard-negatives")]
+    stages = [tracker.getStageInfo(s) for job in jobs if job for s in job.stageIds]
+    tasks = [stage.numTasks for stage in stages if stage]
+    # 40 anchors beside 16 blocks were 640 tasks, each with a copy of its block.
+    assert tasks and max(tasks) <= 64
+
+
+def test_vectors_of_every_width_and_many_labels(spark):
+    r = np.random.default_rng(8)
+    rows = []
+    for i in range(600):
+        by = [1, 1, 30, 120, 2.0**11, 2.0**18][i % 6]
+        vec = [float(x) for x in np.float32(by) * r.integers(-2, 3, 8) * (np.arange(8) // 4 == (by > 200)) / 2]
+        rows.append((i if i % 50 else 100, vec, int(r.integers(0, 10 if i % 4 else 3))))
+    want = plain(rows)
+    assert len(want) > 100 and {abs(x[4]) > 2**24 for x in want} == {True, False}
+    for block in (1 << 22, 900):
+        assert found(spark, rows, row_bytes=block, anchor_bytes=block // 9) == want
+
+
+def test_a_late_row_of_a_low_id_wins_a_tie():
+    r = np.random.default_rng(3)
+    vec = r.integers(-3, 4, (5_000, 6)).astype(np.float32)
+    label = r.integers(0, 3, 5_000)
+    number = np.arange(5_000)
+    held = hn.Part(number, number, label, vec, None)
+    goals = np.empty(60, dtype=object)
+    goals[:] = [None if i % 9 == 0 else [int(g) for g in r.integers(-5, 40, 1 + i % 3)] for i in range(60)]
+    own = hn.Part(number[:60], number[:60], label[:60], vec[:60], goals)
+    keys = b"".join(hn.needed_negatives({(6, False): own}, {(6, False): held}, 4, 80, 100, 500))
+    want = set()
+    for a in range(60):
+        scores = (vec[a] @ vec.T).astype(int)
+        for g in [g for g in goals[a] or () if g >= 0]:
+            fit = [x for x in number if label[x] != label[a] and 80 * g <= 100 * scores[x] <= 100 * g]
+            want |= {(a, int(scores[x]), True, int(x), int(x)) for x in sorted(fit, key=lambda x: (-scores[x], x))[:4]}
+    assert len(want) > 150 and sorted(map(hn.unpack, hn.unpacked(keys))) == sorted(want)
